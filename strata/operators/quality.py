@@ -56,8 +56,11 @@ def apply_rules(df: DataFrame, rules: Rules | None) -> DataFrame:
     rules = named(rules)
     if not rules:
         return df.withColumns({"failure_reasons": F.lit(None).cast("array<string>"), "is_valid": F.lit(True)})
-    reasons = F.array_compact(F.array(*[F.when(~_holds(text), F.lit(name)) for name, text in rules.items()]))
-    return df.withColumn("failure_reasons", reasons).withColumn("is_valid", F.size("failure_reasons") == 0)
+    # Plain expressions that stay inside generated code (an array lambda would not); where the reasons are not
+    # used, they and the array are pruned and only the predicates remain.
+    holds = {name: _holds(text) for name, text in rules.items()}
+    reasons = F.array_remove(F.array(*[F.when(ok, "").otherwise(name) for name, ok in holds.items()]), "")
+    return df.withColumns({"failure_reasons": reasons, "is_valid": reduce(and_, holds.values())})
 
 
 def valid_rows(df: DataFrame, rules: Rules | None) -> DataFrame:
@@ -91,9 +94,12 @@ def expect(df: DataFrame, rules: Rules, policy: str) -> DataFrame:
     if policy == "drop":
         return valid_rows(df, rules)
     if policy == "fail":
+        # The partition term is always true, but not deterministic to Catalyst. It keeps the check from moving below
+        # a join or another filter, where it would judge rows that never reach this point.
+        passed = F.spark_partition_id() >= 0
         for name, text in named(rules).items():
             broken = F.raise_error(F.lit(f"expectation failed: {name} ({text})")).cast("boolean")
-            df = df.filter(F.when(_holds(text), F.lit(True)).otherwise(broken))
+            df = df.filter(F.when(_holds(text), passed).otherwise(broken))
         return df
     raise ValueError(f"unknown policy {policy!r}; use warn, drop or fail")
 
