@@ -3,30 +3,31 @@
 A plain window puts all rows of a key into one task, which fails once a key holds a large share of the data. Here
 every key's rows are cut into time chunks: the window runs per (key, chunk), and a summary of one row per (key,
 chunk), built by a partial aggregate, carries the value over each chunk border. The results are those of the plain
-window.
+window. The chunk unit should leave a (key, chunk) that fits a task, even for the largest key.
+
+The key columns are held in one struct: it is never NULL, so NULL keys form a group like any other, and windows,
+summaries and the join between them all hash on the same two columns. The long side is shuffled and sorted once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = "_chunk"
+KEY, CHUNK = "_key", "_chunk"
+_GROUP = [KEY, CHUNK]
 
 
-def _chunked(df: DataFrame, time: str, unit: str) -> DataFrame:
-    return df.withColumn(CHUNK, F.date_trunc(unit, F.col(time)))
+def _chunked(df: DataFrame, keys: Sequence[str], time: str, unit: str, value: Column) -> DataFrame:
+    return df.withColumns({KEY: F.struct(*keys), CHUNK: F.date_trunc(unit, F.col(time)), "_value": value})
 
 
-def _attach(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring ``_carry`` of each (key, chunk) to its rows; NULL keys form a group like any other."""
-    right = carried.select(*[F.col(c).alias(f"_r_{c}") for c in (*keys, CHUNK)], "_carry")
-    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in (*keys, CHUNK)))
-    return rows.join(right, same, "left").drop(*[f"_r_{c}" for c in (*keys, CHUNK)])
+def _attach(rows: DataFrame, carried: DataFrame, name: str, result: Column) -> DataFrame:
+    """Bring ``_carry`` of each (key, chunk) to its rows and finish the result column."""
+    joined = rows.join(carried.select(*_GROUP, "_carry"), _GROUP, "left")
+    return joined.withColumn(name, result).drop(*_GROUP, "_value", "_near", "_carry")
 
 
 def adjacent(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str,
@@ -35,29 +36,28 @@ def adjacent(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value:
 
     ``order_by`` must be a total order per key; its first column is the time that chunks are cut by.
     """
-    df = _chunked(df.withColumn("_value", F.struct(value.alias("v"))), order_by[0], unit)
-    order = F.struct(*order_by)
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order_by)
-    across = Window.partitionBy(*keys).orderBy(CHUNK)
-    near, edge, step = (F.lead, F.min_by, F.lead) if ahead else (F.lag, F.max_by, F.lag)
-    rows = df.withColumn("_near", near("_value").over(inside))
-    edges = df.groupBy(*keys, CHUNK).agg(edge("_value", order).alias("_edge"))
+    # Held in a struct, so that a NULL value and no neighbour stay apart while the border is crossed.
+    df = _chunked(df, keys, order_by[0], unit, F.struct(value.alias("v")))
+    inside = Window.partitionBy(*_GROUP).orderBy(*order_by)
+    across = Window.partitionBy(KEY).orderBy(CHUNK)
+    step, edge = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
+    rows = df.withColumn("_near", step("_value").over(inside))
+    edges = df.groupBy(*_GROUP).agg(edge("_value", F.struct(*order_by)).alias("_edge"))
     edges = edges.withColumn("_carry", step("_edge").over(across))
     # Only a chunk's border row has no neighbour inside the chunk.
-    joined = _attach(rows, edges, keys).withColumn(name, F.coalesce("_near", "_carry")["v"])
-    return joined.drop("_value", "_near", "_carry", CHUNK)
+    return _attach(rows, edges, name, F.coalesce("_near", "_carry")["v"])
 
 
 def last_known(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str,
                unit: str = "day") -> DataFrame:
     """Add ``name``: the latest non-NULL ``value`` up to and including each row of the same keys."""
-    df = _chunked(df.withColumn("_value", value), order_by[0], unit)
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order_by).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    across = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    df = _chunked(df, keys, order_by[0], unit, value)
+    inside = Window.partitionBy(*_GROUP).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    across = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn("_near", F.last("_value", ignorenulls=True).over(inside))
-    present = F.when(F.col("_value").isNotNull(), F.struct(*order_by))
-    edges = df.groupBy(*keys, CHUNK).agg(F.max_by("_value", present).alias("_edge"))
+    # All chunks by a plain distinct; only the rows that have a value are compared by order.
+    latest = df.filter(F.col("_value").isNotNull()).groupBy(*_GROUP).agg(
+        F.max_by("_value", F.struct(*order_by)).alias("_edge"))
+    edges = df.select(*_GROUP).distinct().join(latest, _GROUP, "left")
     edges = edges.withColumn("_carry", F.last("_edge", ignorenulls=True).over(across))
-    joined = _attach(rows, edges, keys).withColumn(name, F.coalesce("_near", "_carry"))
-    return joined.drop("_value", "_near", "_carry", CHUNK)
+    return _attach(rows, edges, name, F.coalesce("_near", "_carry"))

@@ -12,8 +12,9 @@ A manifest is a dict, or a JSON or YAML file::
          aggregations: {total: "sum(amount)"}, sort_by: total}
 
 Entries run in the order listed. Optional keys beyond these: ``optional`` (skip a missing source or join table),
-``order_by`` (which duplicate of a merge key wins), ``buckets``, ``glob`` (which typed files), ``max_bytes`` (bronze),
-``cluster_by`` and ``external_location`` (layout and place of a gold table).
+``order_by`` (which duplicate of a merge key wins), ``buckets``, ``glob`` (which typed files), ``max_bytes`` (the
+largest file kept as one bronze row), ``batch_bytes`` (input per batch), ``stage`` (true: parsed batches go through
+files, not executor caches), ``cluster_by`` and ``external_location`` (layout and place of a gold table).
 """
 
 from __future__ import annotations
@@ -110,7 +111,8 @@ class _Context:
 
     def bronze(self, entry):
         source, target, common = self.path(entry["source_path"]), entry["target_table"], {
-            "run_id": entry["name"], "run_mode": self.run_mode, "user": self.user, "timeout": self.timeout}
+            "run_id": entry["name"], "run_mode": self.run_mode, "user": self.user,
+            "batch_bytes": entry.get("batch_bytes"), "timeout": self.timeout}
         if entry.get("format") in TYPED_FORMATS:
             bronze.ingest_typed(self.spark, source, entry["schema"], target, self.checkpoint(entry),
                                 file_format=entry["format"], **common)
@@ -126,7 +128,8 @@ class _Context:
             file_format=entry.get("format", "json").lower(), explode=entry.get("explode_col"),
             rules=entry.get("rules", {}), merge_key=entry.get("merge_key"),
             order_by=entry.get("order_by", DEFAULT_ORDER), buckets=entry.get("buckets", tables.DEFAULT_BUCKETS),
-            run_mode=self.run_mode, user=self.user)
+            run_mode=self.run_mode, user=self.user, batch_bytes=entry.get("batch_bytes"),
+            stage=self.path(f"stage/{entry['name']}") if entry.get("stage") else None)
         checkpoint = self.checkpoint(entry)
         if table.file_format in TYPED_FORMATS:
             # Typed files are read as such, from the folder that the bronze entry of the source table lists.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import history
 from strata.queries.inputs import table
+from strata.session import shared_dir
 
 KEYS, TRACKED, ORDER = ["user_id"], ["event_type"], ["ts", "event_id"]
 
@@ -14,6 +15,13 @@ def _history(spark, folder):
     return history.scd2(table(spark, folder, "events"), KEYS, TRACKED, ORDER)
 
 
+def _stored(spark, folder):
+    """The history as a table of its own, as lookups would find it."""
+    path = shared_dir(spark, "history")
+    _history(spark, folder).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 HISTORY_SQL = """
     WITH compared AS (
         SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before,
@@ -41,14 +49,14 @@ MERGED_SQL = """
 
 
 def _state_at(spark, folder):
-    return history.state_at(_history(spark, folder), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
+    return history.state_at(_stored(spark, folder), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"))
 
 
 def _as_of(spark, folder):
     # Questions are asked 36 hours before each event; the earliest of a user find no state.
     questions = table(spark, folder, "events").select(
         F.col("event_id").alias("question"), "user_id", (F.col("ts") - F.expr("INTERVAL 36 HOURS")).alias("ts"))
-    return history.as_of(questions, _history(spark, folder), KEYS, "ts", ["event_type", "__start_at"])
+    return history.as_of(questions, _stored(spark, folder), KEYS, "ts", ["event_type", "__start_at"])
 
 
 AS_OF_SQL = f"""

@@ -30,15 +30,15 @@ def append_stream(spark: SparkSession, stream: DataFrame, target: str, checkpoin
 
 def ingest_raw(spark: SparkSession, source: str, target: str, checkpoint: str, run_id: str,
                run_mode: str = "local", user: str | None = None, max_bytes: int = WHOLE_FILE_BYTES,
-               timeout: int | None = None) -> None:
+               batch_bytes: int | None = None, timeout: int | None = None) -> None:
     """Append every file below ``source`` that no earlier run has read (``raw_files`` rows, lineage, audit)."""
-    rows = with_lineage(raw_files(spark, source, streaming=True, max_bytes=max_bytes))
+    rows = with_lineage(raw_files(spark, source, True, max_bytes, batch_bytes))
     append_stream(spark, with_audit(rows, run_id, run_mode, user), target, checkpoint, timeout)
 
 
 def ingest_typed(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, run_id: str,
                  run_mode: str = "local", user: str | None = None, file_format: str = "parquet",
-                 timeout: int | None = None) -> None:
+                 batch_bytes: int | None = None, timeout: int | None = None) -> None:
     """Append typed files as they are, without a payload detour."""
-    rows = with_lineage(structured_files(spark, source, schema, streaming=True, file_format=file_format))
+    rows = with_lineage(structured_files(spark, source, schema, True, file_format, batch_bytes=batch_bytes))
     append_stream(spark, with_audit(rows, run_id, run_mode, user), target, checkpoint, timeout)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from strata.functions.audit import with_audit
@@ -30,6 +31,11 @@ class SilverTable:
     buckets: int = tables.DEFAULT_BUCKETS
     run_mode: str = "local"
     user: str | None = None
+    # Bytes of bronze (or typed) files per batch; all that is new by default.
+    batch_bytes: int | None = None
+    # A folder for the parsed batch. Without it the batch is cached on the executors, which suits batches that fit
+    # there; a backfill is better written once and read back column by column.
+    stage: str | None = None
 
     @property
     def quarantine(self) -> str:
@@ -57,20 +63,24 @@ def store_batch(rows: DataFrame, batch_id: int, spec: SilverTable) -> dict[str,
     spark = rows.sparkSession
     tagged = with_audit(quality.apply_rules(rows, spec.rules), spec.name, spec.run_mode, spec.user)
     counts = Observation()
-    # Both writes (and the merge, which reads its source twice) share one parse. Blocks lost with an executor are
-    # parsed again from the bronze files.
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = tagged.observe(counts, *quality.batch_metrics())
+    # Both writes (and the merge, which reads its source more than once) share one parse.
+    if spec.stage:
+        tagged.write.mode("overwrite").parquet(spec.stage)
+        tagged = spark.read.schema(tagged.schema).parquet(spec.stage)
+    else:
+        # Blocks lost with an executor are parsed again from the bronze files.
+        tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # The quarantine write runs to the end of the whole batch, so it carries the counts.
-        observed = tagged.observe(counts, *quality.batch_metrics())
-        tables.append_batch(spark, quality.quarantine(observed), spec.quarantine, batch_id)
         valid, _ = quality.split(tagged)
+        tables.append_batch(spark, quality.quarantine(tagged), spec.quarantine, batch_id)
         if spec.merge_key:
             tables.upsert(spark, valid, spec.target, spec.merge_key, batch_id, spec.order_by, spec.buckets)
         else:
             tables.append_batch(spark, valid, spec.target, batch_id)
     finally:
-        tagged.unpersist()
+        if not spec.stage:
+            tagged.unpersist()
     return counts.get
 
 
@@ -85,15 +95,30 @@ def from_bronze(spark: SparkSession, source_table: str, spec: SilverTable, check
     done: list[dict[str, int]] = []
 
     def batch(raw: DataFrame, batch_id: int) -> None:
-        # Header lines of oversize files are found in the whole bronze table: a file may span two batches.
-        bronze = raw.sparkSession.read.table(source_table)
-        headers = payload.csv_headers(payload.of_format(bronze, "csv")) if spec.file_format == "csv" else None
+        headers = _headers(raw, source_table) if spec.file_format == "csv" else None
         done.append(store_batch(parsed(raw, spec, headers), batch_id, spec))
 
-    _run(spark.readStream.table(source_table), batch, checkpoint, timeout)
+    reader = spark.readStream
+    if spec.batch_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(spec.batch_bytes))
+    _run(reader.table(source_table), batch, checkpoint, timeout)
     return done
 
 
+def _headers(raw: DataFrame, source_table: str) -> DataFrame:
+    """Header lines for the batch's rows of oversize CSV files.
+
+    A file's lines may be spread over two silver batches, so its first line is looked up in the bronze table. All of
+    a file was ingested at one instant: that range prunes the lookup to the bronze files of the same ingestion.
+    """
+    pieces = payload.of_format(raw, "csv").filter(F.col("chunk_line").isNotNull())
+    since, until = pieces.agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    if since is None:
+        return payload.csv_headers(raw)
+    bronze = payload.of_format(raw.sparkSession.read.table(source_table), "csv")
+    return payload.csv_headers(bronze.filter(F.col("ingested_at").between(since, until)))
+
+
 def from_typed_files(spark: SparkSession, source: str, spec: SilverTable, checkpoint: str, glob: str | None = None,
                      timeout: int | None = None) -> list[dict[str, int]]:
     """Read new typed files (Parquet) straight into silver, with lineage."""
@@ -102,6 +127,6 @@ def from_typed_files(spark: SparkSession, source: str, spec: SilverTable, checkp
     def batch(rows: DataFrame, batch_id: int) -> None:
         done.append(store_batch(exploded(with_lineage(rows), spec), batch_id, spec))
 
-    stream = structured_files(spark, source, spec.schema, True, spec.file_format, glob)
+    stream = structured_files(spark, source, spec.schema, True, spec.file_format, glob, spec.batch_bytes)
     _run(stream, batch, checkpoint, timeout)
     return done
