@@ -105,7 +105,7 @@ def expect(df: DataFrame, rules: Rules, policy: str) -> DataFrame:
 
 
 def batch_metrics() -> list[Column]:
-    """Aggregates over tagged rows, for ``df.observe`` or ``df.agg``: counts without another pass."""
+    """Counts of valid and quarantined rows, in one aggregate over the tag column."""
     return [F.count_if("is_valid").alias("valid_rows"), F.count_if(~F.col("is_valid")).alias("quarantined_rows")]
 
 

@@ -33,7 +33,9 @@ def exists(spark: SparkSession, table: str) -> bool:
 
 
 def read(spark: SparkSession, table: str) -> DataFrame:
-    """The table without its layout column."""
+    """The table without its layout column, as of now: streams write in a session of their own, so a file listing
+    that this session holds may be out of date."""
+    spark.catalog.refreshTable(table)
     return spark.read.table(table).drop(PART)
 
 
@@ -176,6 +178,7 @@ def _ensure_merge_table(spark: SparkSession, df: DataFrame, table: str, buckets:
 
 def _aligned(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Widen the table by the frame's new columns, then order the frame by the table's columns."""
+    spark.catalog.refreshTable(table)
     known = {c.lower() for c in spark.table(table).columns}
     new = StructType([f for f in df.schema.fields if f.name.lower() not in known])
     if new.fields:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -62,8 +62,6 @@ def store_batch(rows: DataFrame, batch_id: int, spec: SilverTable) -> dict[str,
     """Check one batch and write its valid and its quarantined rows. Replaying a batch changes nothing."""
     spark = rows.sparkSession
     tagged = with_audit(quality.apply_rules(rows, spec.rules), spec.name, spec.run_mode, spec.user)
-    counts = Observation()
-    tagged = tagged.observe(counts, *quality.batch_metrics())
     # Both writes (and the merge, which reads its source more than once) share one parse.
     if spec.stage:
         tagged.write.mode("overwrite").parquet(spec.stage)
@@ -78,10 +76,11 @@ def store_batch(rows: DataFrame, batch_id: int, spec: SilverTable) -> dict[str,
             tables.upsert(spark, valid, spec.target, spec.merge_key, batch_id, spec.order_by, spec.buckets)
         else:
             tables.append_batch(spark, valid, spec.target, batch_id)
+        # Reads one column of the shared parse.
+        return tagged.agg(*quality.batch_metrics()).first().asDict()
     finally:
         if not spec.stage:
             tagged.unpersist()
-    return counts.get
 
 
 def _run(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, timeout: int | None) -> None:
