@@ -96,21 +96,19 @@ def train(df: DataFrame, label: str = LABEL, key: str = ID, trees: int = 10, see
           drop_last: bool = False) -> Trained:
     """Fit index, one-hot, assemble, scale and random forest on the training rows; score and rate the test rows."""
     numeric, categorical = feature_columns(df, label, (key,))
-    check_categories(df, categorical)
-    rows = prepared(df, numeric).filter(F.col(label).isNotNull())
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed)
-    # The fit passes over the training rows many times.
-    fit_rows = split(rows, key, tenths)[0].persist(StorageLevel.MEMORY_AND_DISK)
+    # The fit passes over the rows many times, and rating them once more.
+    rows = prepared(df, numeric).filter(F.col(label).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        check_categories(rows, categorical)
+        fit_rows, test_rows = split(rows, key, tenths)
         model = Pipeline(stages=[*feature_pipeline(numeric, categorical, drop_last), forest]).fit(fit_rows)
-        train_rows = fit_rows.count()
+        scored = score(model, test_rows)
+        result = auc(scored.select(label, churn_probability().alias("p")), label, "p").first()
+        return Trained(model, scored, result["auc"], fit_rows.count(), result["positives"] + result["negatives"],
+                       len(numeric) + len(categorical))
     finally:
-        fit_rows.unpersist()
-    scored = score(model, split(rows, key, tenths)[1])
-    rated = scored.select(label, churn_probability().alias("p"))
-    result = auc(rated, label, "p").first()
-    return Trained(model, scored, result["auc"], train_rows, result["positives"] + result["negatives"],
-                   len(numeric) + len(categorical))
+        rows.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

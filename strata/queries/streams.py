@@ -34,7 +34,7 @@ def _bronze(spark, folder):
 
 BRONZE_SQL = """
     SELECT 'json' AS file_format, 'raw_ingestion' AS _pipeline_run_id, 2 * count(*) AS records,
-           count(*) AS in_second, 0 AS without_time FROM events
+           count(*) AS in_second, CAST(0 AS BIGINT) AS without_time FROM events
     UNION ALL SELECT 'csv', 'raw_ingestion', 2 * count(*), count(*), 0 FROM orders"""
 
 

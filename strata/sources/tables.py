@@ -2,12 +2,14 @@
 
 Tables that batches are merged into carry one layout column, ``_part``. Rows with a key lie in a hash bucket of that
 key, so an upsert rewrites only the buckets its keys fall into. Rows without a key lie in a partition of their own
-batch. Either way the partitions of a replayed batch are overwritten by the same content, so a replay adds nothing.
+writer and batch. Either way the partitions of a replayed batch are overwritten by the same content, so a replay adds
+nothing. (Batch numbers belong to a stream's checkpoint: drop the table together with the checkpoint.)
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 
@@ -43,6 +45,16 @@ def drop(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_name(table)}")
 
 
+def evolve(spark: SparkSession, schema: StructType, table: str) -> StructType:
+    """Add the columns that a table lacks (a catalog change only: no file is rewritten); returns the table's schema."""
+    spark.catalog.refreshTable(table)
+    known = {c.lower() for c in spark.table(table).columns}
+    new = StructType([f for f in schema.fields if f.name.lower() not in known])
+    if new.fields:
+        spark.sql(f"ALTER TABLE {_name(table)} ADD COLUMNS ({_ddl(new)})")
+    return spark.table(table).schema
+
+
 def append(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Append rows; new columns are added to the table, missing ones are NULL. Existing files are not touched."""
     ensure_schema(spark, table)
@@ -51,22 +63,23 @@ def append(spark: SparkSession, df: DataFrame, table: str) -> None:
     _aligned(spark, df, table).write.insertInto(table)
 
 
-def append_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: int) -> None:
-    """Append the rows of one batch; a replay of the batch replaces them."""
-    df = df.withColumn(PART, F.lit(-1 - batch_id).cast("long"))
+def append_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: int, writer: str = "") -> None:
+    """Append the rows of one batch; a replay of the batch replaces them. ``writer`` tells apart the jobs that share
+    a table, as each counts its own batches."""
+    df = df.withColumn(PART, F.lit(batch_part(batch_id, writer)).cast("long"))
     _ensure_merge_table(spark, df, table)
     _overwrite_parts(spark, df, table)
 
 
 def upsert(spark: SparkSession, df: DataFrame, table: str, key: str, batch_id: int = 0,
-           order_by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> None:
+           order_by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS, writer: str = "") -> None:
     """Merge a batch into a table by key (see :func:`strata.operators.merge.upsert`).
 
     ``buckets`` counts when the table is created; choose it so that a bucket is some gigabytes at most.
     """
     _ensure_merge_table(spark, df.withColumn(PART, F.lit(0).cast("long")), table, buckets)
     buckets = int(_property(spark, table, BUCKETS_PROPERTY))
-    df = df.withColumn(PART, part_of(key, batch_id, buckets))
+    df = df.withColumn(PART, part_of(key, batch_id, buckets, writer))
     keyed = df.filter(F.col(key).isNotNull())
     # At most `buckets` numbers: they prune the scan of the target to the partitions that change.
     touched = [row[0] for row in keyed.select(PART).distinct().collect()]
@@ -76,10 +89,15 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, key: str, batch_id: i
     _overwrite_parts(spark, merge.upsert(target, df, key, order_by), table)
 
 
-def part_of(key: str, batch_id: int, buckets: int) -> Column:
+def batch_part(batch_id: int, writer: str = "") -> int:
+    """The layout value of keyless rows: negative, one per writer and batch."""
+    return -1 - batch_id - (zlib.crc32(writer.encode()) << 31)
+
+
+def part_of(key: str, batch_id: int, buckets: int, writer: str = "") -> Column:
     """The layout value of a row: a hash bucket of its key, or its batch if it has no key."""
     bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets))
-    return F.when(F.col(key).isNull(), F.lit(-1 - batch_id)).otherwise(bucket).cast("long")
+    return F.when(F.col(key).isNull(), F.lit(batch_part(batch_id, writer))).otherwise(bucket).cast("long")
 
 
 def replace(spark: SparkSession, df: DataFrame, table: str, cluster_by: Sequence[str] = (),
@@ -178,15 +196,11 @@ def _ensure_merge_table(spark: SparkSession, df: DataFrame, table: str, buckets:
 
 def _aligned(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Widen the table by the frame's new columns, then order the frame by the table's columns."""
-    spark.catalog.refreshTable(table)
-    known = {c.lower() for c in spark.table(table).columns}
-    new = StructType([f for f in df.schema.fields if f.name.lower() not in known])
-    if new.fields:
-        spark.sql(f"ALTER TABLE {_name(table)} ADD COLUMNS ({_ddl(new)})")
+    schema = evolve(spark, df.schema, table)
     have = {c.lower(): c for c in df.columns}
     return df.select(*[
         (F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in spark.table(table).schema.fields])
+        for f in schema.fields])
 
 
 @contextmanager

@@ -22,8 +22,10 @@ def run_to_end(query: StreamingQuery, timeout: int | None = None) -> None:
 def append_stream(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str,
                   timeout: int | None = None) -> None:
     """Append a stream to a table, exactly once. The table belongs to this stream: its file log is what readers
-    trust, so no batch job may append to it."""
+    trust, so no batch job may append to it. Columns that are new to the table are added to it."""
     tables.ensure_schema(spark, target)
+    if tables.exists(spark, target):
+        tables.evolve(spark, stream.schema, target)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     run_to_end(writer.toTable(target), timeout)
 

@@ -71,11 +71,12 @@ def store_batch(rows: DataFrame, batch_id: int, spec: SilverTable) -> dict[str,
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         valid, _ = quality.split(tagged)
-        tables.append_batch(spark, quality.quarantine(tagged), spec.quarantine, batch_id)
+        tables.append_batch(spark, quality.quarantine(tagged), spec.quarantine, batch_id, spec.name)
         if spec.merge_key:
-            tables.upsert(spark, valid, spec.target, spec.merge_key, batch_id, spec.order_by, spec.buckets)
+            tables.upsert(spark, valid, spec.target, spec.merge_key, batch_id, spec.order_by, spec.buckets,
+                          spec.name)
         else:
-            tables.append_batch(spark, valid, spec.target, batch_id)
+            tables.append_batch(spark, valid, spec.target, batch_id, spec.name)
         # Reads one column of the shared parse.
         return tagged.agg(*quality.batch_metrics()).first().asDict()
     finally:

@@ -5,7 +5,7 @@ import json
 import pytest
 
 from strata.plans import manifest
-from strata.plans.audit import layer_report, source_files
+from strata.plans.audit import layer_report, sample_rows, source_files
 from strata.queries.inputs import scratch_schema
 from strata.queries.runs import churn_manifest, sales_manifest
 from strata.sources import tables
@@ -46,4 +46,7 @@ def test_gold_location_and_layer_report(spark, folder):
     assert [tuple(r)[2:] for r in report.collect()] == [
         (3, 2, 3, 0), (2, None, None, None), (None, None, None, None)]
     assert layer_report(spark, []).count() == 0
+    place = tables._location(spark, f"{schema}.k")
+    assert layer_report(spark, [("gold", place)]).first().rows == 2
+    assert sample_rows(spark, place, 1).count() == sample_rows(spark, f"{schema}.tx", 1).count() == 1
     assert source_files(spark.table(f"{schema}.tx")).count() == 2

@@ -113,6 +113,17 @@ def test_typed_files_skip_the_payload_detour(spark, folder):
     assert (row.tx_id, row.tx_time) == ("a", None) and row.source_file.endswith(".parquet")
 
 
+def test_typed_bronze_widens_and_old_rows_are_null(spark, folder):
+    target = f"{scratch_schema(spark, 'widen')}.t"
+    spark.createDataFrame([(1, "a")], "id INT, v STRING").write.parquet(f"{folder}/landing/p1")
+    bronze.ingest_typed(spark, f"{folder}/landing", "id INT, v STRING", target, f"{folder}/ck", "typed", timeout=300)
+    spark.createDataFrame([(2, "b", 3)], "id INT, v STRING, extra INT").write.parquet(f"{folder}/landing/p2")
+    bronze.ingest_typed(spark, f"{folder}/landing", "id INT, v STRING, extra INT", target, f"{folder}/ck", "typed",
+                        timeout=300)
+    rows = tables.read(spark, target).select("id", "v", "extra").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, "a", None), (2, "b", 3)]
+
+
 def test_unknown_formats_are_refused(spark):
     with pytest.raises(ValueError):
         silver.parsed(spark.sql("SELECT '' AS payload, 'xml' AS file_format"), silver.SilverTable("x", "x", SCHEMA, "xml"))

@@ -62,9 +62,10 @@ def test_replayed_batches_change_nothing_even_without_keys(spark):
         tables.upsert(spark, batch, name, "id", batch_id, buckets=4)
     assert as_sorted(tables.read(spark, name)) == as_sorted(frame(spark, (1, "a", 0), *[(None, "n", 0)] * 4))
     plain = f"{name}_plain"
-    for batch_id in (0, 0, 1):
-        tables.append_batch(spark, batch, plain, batch_id)
-    assert tables.read(spark, plain).count() == 6
+    for batch_id, writer in ((0, "x"), (0, "x"), (1, "x"), (0, "y")):
+        tables.append_batch(spark, batch, plain, batch_id, writer)
+    assert tables.read(spark, plain).count() == 9
+    assert tables.batch_part(2**31 - 1, "x") > -(2**63) and tables.batch_part(0) == -1
 
 
 def test_tables_widen(spark):
