@@ -1,12 +1,9 @@
 """Neighbouring rows of long sequences: previous, next and last-known values per key.
 
 A plain window puts all rows of a key into one task, which fails once a key holds a large share of the data. Here
-every key's rows are cut into time chunks: the window runs per (key, chunk), and a summary of one row per (key,
-chunk), built by a partial aggregate, carries the value over each chunk border. The results are those of the plain
-window. The chunk unit should leave a (key, chunk) that fits a task, even for the largest key.
-
-The key columns are held in one struct: it is never NULL, so NULL keys form a group like any other, and windows,
-summaries and the join between them all hash on the same two columns. The long side is shuffled and sorted once.
+every key's rows are cut into time chunks: the window runs per (key, chunk), and only a row or two per chunk are
+needed to carry values over the chunk borders. The results are those of the plain window. The chunk unit should leave
+a (key, chunk) that fits a task, even for the largest key.
 """
 
 from __future__ import annotations
@@ -16,18 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY, CHUNK = "_key", "_chunk"
-_GROUP = [KEY, CHUNK]
-
-
-def _chunked(df: DataFrame, keys: Sequence[str], time: str, unit: str, value: Column) -> DataFrame:
-    return df.withColumns({KEY: F.struct(*keys), CHUNK: F.date_trunc(unit, F.col(time)), "_value": value})
-
-
-def _attach(rows: DataFrame, carried: DataFrame, name: str, result: Column) -> DataFrame:
-    """Bring ``_carry`` of each (key, chunk) to its rows and finish the result column."""
-    joined = rows.join(carried.select(*_GROUP, "_carry"), _GROUP, "left")
-    return joined.withColumn(name, result).drop(*_GROUP, "_value", "_near", "_carry")
+CHUNK = "_chunk"
 
 
 def adjacent(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str,
@@ -36,28 +22,35 @@ def adjacent(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value:
 
     ``order_by`` must be a total order per key; its first column is the time that chunks are cut by.
     """
-    # Held in a struct, so that a NULL value and no neighbour stay apart while the border is crossed.
-    df = _chunked(df, keys, order_by[0], unit, F.struct(value.alias("v")))
-    inside = Window.partitionBy(*_GROUP).orderBy(*order_by)
-    across = Window.partitionBy(KEY).orderBy(CHUNK)
-    step, edge = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
-    rows = df.withColumn("_near", step("_value").over(inside))
-    edges = df.groupBy(*_GROUP).agg(edge("_value", F.struct(*order_by)).alias("_edge"))
-    edges = edges.withColumn("_carry", step("_edge").over(across))
-    # Only a chunk's border row has no neighbour inside the chunk.
-    return _attach(rows, edges, name, F.coalesce("_near", "_carry")["v"])
+    near, far = (F.lead, F.lag) if ahead else (F.lag, F.lead)
+    inside = Window.partitionBy(*keys, CHUNK).orderBy(*order_by)
+    across = Window.partitionBy(*keys).orderBy(*order_by)
+    # Held in a struct, so that a NULL value is not taken for a missing neighbour.
+    df = df.withColumns({CHUNK: F.date_trunc(unit, F.col(order_by[0])), "_value": F.struct(value.alias("v"))})
+    rows = df.withColumns({"_near": near("_value").over(inside), "_far": far("_value").over(inside)})
+    # Rows without a near neighbour begin their chunk; the one they lack ends the chunk before. Among the first and
+    # last rows of all chunks it is the neighbour. Both branches read the same shuffle.
+    ends = rows.filter(F.col("_near").isNull() | F.col("_far").isNull())
+    begins = ends.withColumn("_over", near("_value").over(across)).filter(F.col("_near").isNull())
+    begins = begins.withColumn("_near", F.col("_over")).drop("_over")
+    found = rows.filter(F.col("_near").isNotNull()).unionByName(begins)
+    return found.withColumn(name, F.col("_near.v")).drop(CHUNK, "_value", "_near", "_far")
 
 
 def last_known(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: Column, name: str,
                unit: str = "day") -> DataFrame:
     """Add ``name``: the latest non-NULL ``value`` up to and including each row of the same keys."""
-    df = _chunked(df, keys, order_by[0], unit, value)
-    inside = Window.partitionBy(*_GROUP).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    across = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    # The key columns in one struct: it is never NULL, so NULL keys form a group like any other, and the windows, the
+    # summaries and the join between them hash alike. The long side is shuffled and sorted once.
+    group = ["_key", CHUNK]
+    df = df.withColumns({"_key": F.struct(*keys), CHUNK: F.date_trunc(unit, F.col(order_by[0])), "_value": value})
+    inside = Window.partitionBy(*group).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    across = Window.partitionBy("_key").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn("_near", F.last("_value", ignorenulls=True).over(inside))
     # All chunks by a plain distinct; only the rows that have a value are compared by order.
-    latest = df.filter(F.col("_value").isNotNull()).groupBy(*_GROUP).agg(
+    latest = df.filter(F.col("_value").isNotNull()).groupBy(*group).agg(
         F.max_by("_value", F.struct(*order_by)).alias("_edge"))
-    edges = df.select(*_GROUP).distinct().join(latest, _GROUP, "left")
-    edges = edges.withColumn("_carry", F.last("_edge", ignorenulls=True).over(across))
-    return _attach(rows, edges, name, F.coalesce("_near", "_carry"))
+    chunks = df.select(*group).distinct().join(latest, group, "left")
+    carried = chunks.select(*group, F.last("_edge", ignorenulls=True).over(across).alias("_carry"))
+    joined = rows.join(carried, group, "left")
+    return joined.withColumn(name, F.coalesce("_near", "_carry")).drop(*group, "_value", "_near", "_carry")
