@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 
-def _orderable(data_type: DataType) -> bool:
+def orderable(data_type: DataType) -> bool:
+    """Whether values of the type can be compared (maps and variants cannot)."""
     if isinstance(data_type, ArrayType):
-        return _orderable(data_type.elementType)
+        return orderable(data_type.elementType)
     if isinstance(data_type, StructType):
-        return all(_orderable(f.dataType) for f in data_type.fields)
+        return all(orderable(f.dataType) for f in data_type.fields)
     return not isinstance(data_type, (MapType, VariantType))
 
 
@@ -24,7 +25,7 @@ def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> Dat
     one task.
     """
     first = [c for c in order_by if c in df.columns]
-    rest = [f.name for f in df.schema.fields if f.name not in (*first, key) and _orderable(f.dataType)]
+    rest = [f.name for f in df.schema.fields if f.name not in (*first, key) and orderable(f.dataType)]
     others = [c for c in df.columns if c != key]
     if not others:
         return df.distinct()

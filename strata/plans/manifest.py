@@ -2,7 +2,7 @@
 
 A manifest is a dict, or a JSON or YAML file::
 
-    settings: {run_mode: local, local_base_path: ./data}
+    settings: {run_mode: local, local_base_path: ./data, metrics_table: ops.quality}
     tables:
       - {name: raw, type: bronze, source_path: /landing/, target_table: bronze.raw}
       - {name: tx, type: silver, format: json, source_table: bronze.raw, target_table: silver.tx,
@@ -11,15 +11,17 @@ A manifest is a dict, or a JSON or YAML file::
       - {name: kpi, type: gold, source_table: silver.tx, target_table: gold.kpi, joins: [], group_by: [store_id],
          aggregations: {total: "sum(amount)"}, sort_by: total}
 
-Entries run in the order listed. Optional keys beyond these: ``optional`` (skip a missing source or join table),
+Entries run in the order listed. In a ``run_mode`` other than ``local`` the settings ``cloud_base_path`` and ``catalog``
+apply. ``metrics_table`` (optional) collects the counts per rule of each silver batch. Optional keys of entries: ``optional`` (skip a missing source or join table),
 ``order_by`` (which duplicate of a merge key wins), ``buckets``, ``glob`` (which typed files), ``max_bytes`` (the
 largest file kept as one bronze row), ``batch_bytes`` (input per batch), ``stage`` (true: parsed batches go through
-files, not executor caches), ``cluster_by`` and ``external_location`` (layout and place of a gold table).
+files, not executor caches), ``cluster_by``, ``interleave`` and ``external_location`` (layout and place of a gold table).
 """
 
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Mapping
 from typing import Any
 
@@ -54,7 +56,12 @@ def run(spark: SparkSession, manifest: str | Mapping[str, Any], base_path: str |
     spec = load(manifest)
     settings = spec.get("settings", {})
     run_mode = settings.get("run_mode", "local")
-    base = base_path or settings["local_base_path" if run_mode == "local" else "cloud_base_path"]
+    if run_mode == "local":
+        base = base_path or os.path.abspath(settings["local_base_path"])
+    else:
+        base = base_path or settings["cloud_base_path"]
+        if settings.get("catalog"):
+            spark.catalog.setCurrentCatalog(settings["catalog"])
     context = _Context(spark, spec, base.rstrip("/"), run_mode, user, timeout)
     steps = {"bronze": context.bronze, "silver": context.silver, "gold": context.gold}
     reports = {}
@@ -70,6 +77,13 @@ def report(spark: SparkSession, manifest: str | Mapping[str, Any]) -> DataFrame:
     return layer_report(spark, [(t["type"], t["target_table"]) for t in load(manifest)["tables"]])
 
 
+def drop_targets(spark: SparkSession, manifest: str | Mapping[str, Any]) -> None:
+    """Drop every table of a manifest, quarantine included. Files of external tables and checkpoints stay."""
+    for entry in load(manifest)["tables"]:
+        tables.drop(spark, entry["target_table"])
+        tables.drop(spark, f"{entry['target_table']}_quarantine")
+
+
 def build_gold(spark: SparkSession, entry: Mapping[str, Any]) -> DataFrame:
     """The rows of a gold entry: joins, group-aggregate and sort over current tables."""
 
@@ -129,7 +143,8 @@ class _Context:
             rules=entry.get("rules", {}), merge_key=entry.get("merge_key"),
             order_by=entry.get("order_by", DEFAULT_ORDER), buckets=entry.get("buckets", tables.DEFAULT_BUCKETS),
             run_mode=self.run_mode, user=self.user, batch_bytes=entry.get("batch_bytes"),
-            stage=self.path(f"stage/{entry['name']}") if entry.get("stage") else None)
+            stage=self.path(f"stage/{entry['name']}") if entry.get("stage") else None,
+            metrics=self.spec.get("settings", {}).get("metrics_table"))
         checkpoint = self.checkpoint(entry)
         if table.file_format in TYPED_FORMATS:
             # Typed files are read as such, from the folder that the bronze entry of the source table lists.
@@ -145,4 +160,5 @@ class _Context:
         location = entry.get("external_location")
         tables.replace(self.spark, build_gold(self.spark, entry), entry["target_table"],
                        cluster_by=entry.get("cluster_by", ()), sort_by=entry.get("sort_by", ()),
-                       location=self.path(location) if location else None)
+                       location=self.path(location) if location else None,
+                       interleave=entry.get("interleave", False))

@@ -15,7 +15,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NullType, StructType
+from pyspark.sql.types import DateType, NullType, StringType, StructType, TimestampNTZType
 
 from strata.operators import merge
 
@@ -101,10 +101,11 @@ def part_of(key: str, batch_id: int, buckets: int, writer: str = "") -> Column:
 
 
 def replace(spark: SparkSession, df: DataFrame, table: str, cluster_by: Sequence[str] = (),
-            sort_by: str | Sequence[str] = (), location: str | None = None) -> None:
+            sort_by: str | Sequence[str] = (), location: str | None = None, interleave: bool = False) -> None:
     """Full refresh: write a new version beside the old one, then point the table at it.
 
     Readers see the old or the new version, never a half-written one, and a failed job leaves the old one in place.
+    A frame that is already sorted (``sort_by``) is written in its order, else by ``cluster_by``.
     """
     ensure_schema(spark, table)
     root = location or _default_location(spark, table)
@@ -112,7 +113,7 @@ def replace(spark: SparkSession, df: DataFrame, table: str, cluster_by: Sequence
     if sort_by:
         laid_out = df
     else:
-        laid_out = clustered(df, cluster_by) if cluster_by else df.hint("rebalance")
+        laid_out = clustered(df, cluster_by, interleave) if cluster_by else df.hint("rebalance")
     laid_out.write.parquet(version)
     if exists(spark, table):
         if _columns(spark.table(table).schema) == _columns(df.schema) and _is_external(spark, table):
@@ -123,17 +124,52 @@ def replace(spark: SparkSession, df: DataFrame, table: str, cluster_by: Sequence
     _create(spark, table, df.schema, location=version)
 
 
-def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, columns: Sequence[str], interleave: bool = False) -> DataFrame:
     """Range-partition and sort by the columns, so that Parquet min/max statistics skip files and row groups.
 
-    A row hash ends the range key: a value that holds a large share of the rows is spread over many files.
+    By default the columns count in the order given, which serves filters on the first one best. With ``interleave``
+    all of them count alike (a Z-order over quantile ranks; one more pass over ``df`` finds the quantiles). A row
+    hash ends the range key: a value that holds a large share of the rows is spread over many files.
     """
-    spread = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if merge._orderable(f.dataType)])
-    return df.repartitionByRange(*columns, spread).sortWithinPartitions(*columns)
-
-
-def write_clustered(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    clustered(df, columns).write.mode("overwrite").parquet(path)
+    spread = F.xxhash64(*[F.col(f.name) for f in df.schema.fields if merge.orderable(f.dataType)])
+    if not interleave or len(columns) == 1:
+        return df.repartitionByRange(*columns, spread).sortWithinPartitions(*columns)
+    ranked = df.withColumn("_z", _z_value(df, columns))
+    return ranked.repartitionByRange("_z", *columns, spread).sortWithinPartitions("_z", *columns).drop("_z")
+
+
+def write_clustered(df: DataFrame, path: str, columns: Sequence[str], interleave: bool = False) -> None:
+    clustered(df, columns, interleave).write.mode("overwrite").parquet(path)
+
+
+RANK_BITS = 5
+
+
+def _z_value(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Interleaved bits of each column's quantile rank (0 to 31)."""
+    numbers = [_as_number(df, c) for c in columns]
+    cuts = [i / 2 ** RANK_BITS for i in range(1, 2 ** RANK_BITS)]
+    # One row of 31 numbers per column.
+    bounds = df.agg(*[F.percentile_approx(n, cuts, 2000).alias(f"_{i}") for i, n in enumerate(numbers)]).first()
+    z = F.lit(0).cast("long")
+    for i, number in enumerate(numbers):
+        rank = F.lit(0)
+        for bound in bounds[i] or []:
+            rank = rank + F.coalesce((number >= bound).cast("int"), F.lit(0))
+        for bit in range(RANK_BITS):
+            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long")
+            z = z + F.shiftleft(one, bit * len(columns) + len(columns) - 1 - i)
+    return z
+
+
+def _as_number(df: DataFrame, column: str) -> Column:
+    """A number in the column's order: times as seconds, texts by their first bytes."""
+    value, data_type = F.col(column), df.schema[column].dataType
+    if isinstance(data_type, StringType):
+        return F.conv(F.rpad(F.hex(F.substring(value, 1, 7)), 14, "0"), 16, 10).cast("double")
+    if isinstance(data_type, (DateType, TimestampNTZType)):
+        value = value.cast("timestamp")
+    return value.cast("double")
 
 
 # --- catalog details -------------------------------------------------------------------------------------------

@@ -36,6 +36,8 @@ class SilverTable:
     # A folder for the parsed batch. Without it the batch is cached on the executors, which suits batches that fit
     # there; a backfill is better written once and read back column by column.
     stage: str | None = None
+    # A table for the counts per rule of each batch.
+    metrics: str | None = None
 
     @property
     def quarantine(self) -> str:
@@ -77,6 +79,11 @@ def store_batch(rows: DataFrame, batch_id: int, spec: SilverTable) -> dict[str,
                           spec.name)
         else:
             tables.append_batch(spark, valid, spec.target, batch_id, spec.name)
+        if spec.metrics:
+            per_rule = quality.metrics(tagged, spec.rules, "ingested_at")
+            tables.append_batch(spark, per_rule.select(
+                F.lit(spec.target).alias("table"), F.lit(batch_id).cast("long").alias("batch_id"), "*"),
+                spec.metrics, batch_id, spec.name)
         # Reads one column of the shared parse.
         return tagged.agg(*quality.batch_metrics()).first().asDict()
     finally:

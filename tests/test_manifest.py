@@ -1,6 +1,7 @@
 """Manifest runs: errors, optional entries, files."""
 
 import json
+import os
 
 import pytest
 
@@ -50,3 +51,22 @@ def test_gold_location_and_layer_report(spark, folder):
     assert layer_report(spark, [("gold", place)]).first().rows == 2
     assert sample_rows(spark, place, 1).count() == sample_rows(spark, f"{schema}.tx", 1).count() == 1
     assert source_files(spark.table(f"{schema}.tx")).count() == 2
+
+
+def test_quality_metrics_are_collected_and_targets_dropped(spark, folder):
+    schema = scratch_schema(spark, "metrics")
+    os.makedirs(f"{folder}/landing")
+    for day in (1, 2):
+        with open(f"{folder}/landing/{day}.json", "w") as out:
+            out.write('{"id": 1, "v": 5}\n{"id": 2, "v": -1}\n{"id": null}\n')
+        spec = {"settings": {"local_base_path": folder, "metrics_table": f"{schema}.quality"}, "tables": [
+            {"name": "raw", "type": "bronze", "source_path": "landing", "target_table": f"{schema}.raw"},
+            {"name": "s", "type": "silver", "source_table": f"{schema}.raw", "target_table": f"{schema}.s",
+             "schema": "id INT, v INT", "rules": {"has_id": "id IS NOT NULL", "positive": "v > 0"}}]}
+        assert manifest.run(spark, spec)["s"] == [{"valid_rows": 1, "quarantined_rows": 2}]
+    rows = tables.read(spark, f"{schema}.quality").orderBy("batch_id", "rule").collect()
+    assert [(r.batch_id, r.rule, r.failed_rows) for r in rows] == [
+        (b, rule, n) for b in (0, 1) for rule, n in (("ALL", 2), ("has_id", 1), ("positive", 2))]
+    assert all(r.table == f"{schema}.s" and r.latest_event is not None and r.total_rows == 3 for r in rows)
+    manifest.drop_targets(spark, spec)
+    assert not any(tables.exists(spark, f"{schema}.{t}") for t in ("raw", "s", "s_quarantine"))

@@ -116,6 +116,38 @@ def test_clustering_spreads_a_hot_value(spark, folder):
     assert sum(f["min(k)"] <= 500 <= f["max(k)"] for f in files) == 1
 
 
+def test_interleaved_clustering_serves_every_column(spark, folder):
+    df = spark.range(100_000).select(
+        F.concat(F.lit("customer-"), F.pmod(F.xxhash64("id"), F.lit(977)).cast("string")).alias("c"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.hash("id"), F.lit(365)).cast("int")).alias("d"),
+        F.col("id").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    shares = {}
+    try:
+        for interleave in (False, True):
+            path = f"{folder}/{interleave}"
+            tables.write_clustered(df.withColumn("c", F.substring("c", 10, 9)), path, ["c", "d"], interleave)
+            back = spark.read.parquet(path)
+            assert back.columns == ["c", "d", "v"] and back.count() == 100_000
+            files = back.groupBy(F.input_file_name()).agg(
+                F.min("c"), F.max("c"), F.min("d").cast("string"), F.max("d").cast("string")).collect()
+            shares[interleave] = [sum(f[1] <= "500" <= f[2] for f in files) / len(files),
+                                  sum(f[3] <= "2024-06-01" <= f[4] for f in files) / len(files)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert shares[False][1] > 0.9
+    assert max(shares[True]) < 0.4
+
+
+def test_interleaving_accepts_all_types_and_nulls(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, 'a', DATE'2024-01-01', TIMESTAMP_NTZ'2024-01-01 00:00:00', 1.5),
+                      (NULL, NULL, NULL, NULL, NULL) AS t(a, b, c, d, e)""")
+    assert tables.clustered(df, ["a", "b", "c", "d", "e"], interleave=True).count() == 2
+    assert tables.clustered(df.filter("false"), ["a", "b"], interleave=True).count() == 0
+
+
 @pytest.mark.parametrize("batches", [3])
 def test_upserts_agree_with_a_dictionary(spark, batches):
     import random
