@@ -10,6 +10,7 @@ from strata.ml import churn
 from strata.plans import reports
 from strata.queries.inputs import CHURN, customers, scratch_schema, table, transactions
 from strata.session import shared_dir
+from strata.sources import tables
 
 NUMBERS = ("tenure_months", "support_tickets", "total_lifetime_spend", "avg_tx_value", "frequency_score")
 
@@ -69,28 +70,31 @@ SPLIT_SQL = f"""
     FROM (SELECT c_custkey FROM customer UNION ALL SELECT -1 - s_suppkey FROM supplier)"""
 
 
-def _trained(spark, folder, **options):
-    return churn.train(_features(spark, folder), **options)
+def _feature_table(spark, folder):
+    """The features as a gold table, which training reads many times."""
+    name = f"{scratch_schema(spark, 'ml')}.churn_features"
+    tables.replace(spark, _features(spark, folder), name)
+    return tables.read(spark, name)
 
 
 def _score(spark, folder):
     # The model goes through storage, as a scoring job would get it.
-    path = shared_dir(spark, "model")
-    churn.save(_trained(spark, folder).model, path)
-    scored = churn.score(churn.load(path), _features(spark, folder))
+    path, features = shared_dir(spark, "model"), _feature_table(spark, folder)
+    churn.save(churn.train(features).model, path)
+    scored = churn.score(churn.load(path), features)
     return scored.select("customer_id", "is_churned", "prediction", F.round(churn.churn_probability(), 6).alias(
         "churn_probability"))
 
 
 def _importances(spark, folder):
-    df = _features(spark, folder)
-    return churn.importances(churn.train(df, trees=20).model, df)
+    features = _feature_table(spark, folder)
+    return churn.importances(churn.train(features, trees=20).model, features)
 
 
 def _run_log(spark, folder):
-    name = f"{scratch_schema(spark, 'ml')}.model_runs"
+    name, features = f"{scratch_schema(spark, 'ml')}.model_runs", _feature_table(spark, folder)
     for trees in (5, 10):
-        trained = _trained(spark, folder, trees=trees, tenths=7, drop_last=True)
+        trained = churn.train(features, trees=trees, tenths=7, drop_last=True)
         churn.log_run(spark, trained, f"churn_{trees}", "gold_ml.churn_features", table=name)
     return spark.table(name).drop("logged_at")
 

@@ -63,12 +63,15 @@ def append(spark: SparkSession, df: DataFrame, table: str) -> None:
     _aligned(spark, df, table).write.insertInto(table)
 
 
-def append_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: int, writer: str = "") -> None:
+def append_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: int, writer: str = "",
+                 rebalance: bool = False) -> None:
     """Append the rows of one batch; a replay of the batch replaces them. ``writer`` tells apart the jobs that share
-    a table, as each counts its own batches."""
+    a table, as each counts its own batches. Every task writes its rows where they are, unless ``rebalance`` asks
+    for evenly sized files."""
     df = df.withColumn(PART, F.lit(batch_part(batch_id, writer)).cast("long"))
     _ensure_merge_table(spark, df, table)
-    _overwrite_parts(spark, df, table)
+    aligned = _aligned(spark, df, table)
+    _overwrite_parts(spark, aligned.hint("rebalance") if rebalance else aligned, table)
 
 
 def upsert(spark: SparkSession, df: DataFrame, table: str, key: str, batch_id: int = 0,
@@ -86,7 +89,9 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, key: str, batch_id: i
     # Read by path: Spark refuses to overwrite a table that the same statement reads by name.
     target = (spark.read.schema(spark.table(table).schema).parquet(_location(spark, table))
               .filter(F.col(PART).isin(touched) if touched else F.lit(False)))
-    _overwrite_parts(spark, merge.upsert(target, df, key, order_by), table)
+    merged = _aligned(spark, merge.upsert(target, df, key, order_by), table)
+    # By bucket, so that each is written by few tasks; AQE joins small buckets and splits large ones.
+    _overwrite_parts(spark, merged.hint("rebalance", F.col(PART)), table)
 
 
 def batch_part(batch_id: int, writer: str = "") -> int:
@@ -251,7 +256,5 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterable[None]:
 
 
 def _overwrite_parts(spark: SparkSession, df: DataFrame, table: str) -> None:
-    # Rebalance: AQE joins small partitions and splits large ones, so files come out evenly sized.
-    aligned = _aligned(spark, df, table).hint("rebalance", F.col(PART))
     with _dynamic_overwrite(spark):
-        aligned.write.mode("overwrite").insertInto(table)
+        df.write.mode("overwrite").insertInto(table)

@@ -16,6 +16,10 @@ from strata.sources.files import structured_files, with_lineage
 from strata.streaming.bronze import run_to_end
 
 
+# The most text of file headers that is broadcast.
+BROADCAST_CHARS = 100_000_000
+
+
 @dataclass
 class SilverTable:
     """What one silver table is made of."""
@@ -73,7 +77,8 @@ def store_batch(rows: DataFrame, batch_id: int, spec: SilverTable) -> dict[str,
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         valid, _ = quality.split(tagged)
-        tables.append_batch(spark, quality.quarantine(tagged), spec.quarantine, batch_id, spec.name)
+        # Few rows out of many tasks: gathered into few files.
+        tables.append_batch(spark, quality.quarantine(tagged), spec.quarantine, batch_id, spec.name, rebalance=True)
         if spec.merge_key:
             tables.upsert(spark, valid, spec.target, spec.merge_key, batch_id, spec.order_by, spec.buckets,
                           spec.name)
@@ -123,7 +128,10 @@ def _headers(raw: DataFrame, source_table: str) -> DataFrame:
     if since is None:
         return payload.csv_headers(raw)
     bronze = payload.of_format(raw.sparkSession.read.table(source_table), "csv")
-    return payload.csv_headers(bronze.filter(F.col("ingested_at").between(since, until)))
+    headers = payload.csv_headers(bronze.filter(F.col("ingested_at").between(since, until)))
+    # One short row per oversize file. While they fit, a broadcast spares the lines a shuffle; beyond, Spark chooses.
+    size = headers.agg(F.sum(F.length("source_file") + F.length("_header"))).first()[0] or 0
+    return F.broadcast(headers) if size <= BROADCAST_CHARS else headers
 
 
 def from_typed_files(spark: SparkSession, source: str, spec: SilverTable, checkpoint: str, glob: str | None = None,
