@@ -39,15 +39,20 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order_by: Sequence[st
     The source is first reduced to one row per key. NULL keys match nothing: those rows of both sides pass through
     beside the join. Columns only one side has are kept; a target value survives where the source lacks its column.
     """
-    keyed = latest_per_key(source.filter(F.col(key).isNotNull()), key, order_by)
-    old = target.filter(F.col(key).isNotNull())
-    kept = old.join(keyed.select(key), key, "left_anti")
+    has_key = F.col(key).isNotNull()
+    return append_evolved(
+        upsert_keyed(target.filter(has_key), source.filter(has_key), key, order_by),
+        append_evolved(target.filter(~has_key), source.filter(~has_key)))
+
+
+def upsert_keyed(target: DataFrame, source: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """The upsert of rows that all have a key."""
+    latest = latest_per_key(source, key, order_by)
+    kept = target.join(latest.select(key), key, "left_anti")
     carried = [c for c in target.columns if c not in source.columns]
     if carried:
-        keyed = keyed.join(old.select(key, *carried), key, "left")
-    return append_evolved(
-        append_evolved(kept, keyed),
-        append_evolved(target.filter(F.col(key).isNull()), source.filter(F.col(key).isNull())))
+        latest = latest.join(target.select(key, *carried), key, "left")
+    return append_evolved(kept, latest)
 
 
 def append_evolved(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -80,18 +80,25 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, key: str, batch_id: i
 
     ``buckets`` counts when the table is created; choose it so that a bucket is some gigabytes at most.
     """
+    new = not exists(spark, table)
     _ensure_merge_table(spark, df.withColumn(PART, F.lit(0).cast("long")), table, buckets)
     buckets = int(_property(spark, table, BUCKETS_PROPERTY))
     df = df.withColumn(PART, part_of(key, batch_id, buckets, writer))
-    keyed = df.filter(F.col(key).isNotNull())
+    keyed, loose = df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
+    merged = merge.latest_per_key(keyed, key, order_by) if new else merge.upsert_keyed(
+        _touched(spark, table, keyed), keyed, key, order_by)
+    # By bucket, so that each is written by few tasks; AQE joins small buckets and splits large ones.
+    merged = _aligned(spark, merge.append_evolved(merged, loose), table).hint("rebalance", F.col(PART))
+    _overwrite_parts(spark, merged, table)
+
+
+def _touched(spark: SparkSession, table: str, keyed: DataFrame) -> DataFrame:
+    """The table's rows in the buckets that the keys fall into."""
     # At most `buckets` numbers: they prune the scan of the target to the partitions that change.
     touched = [row[0] for row in keyed.select(PART).distinct().collect()]
     # Read by path: Spark refuses to overwrite a table that the same statement reads by name.
-    target = (spark.read.schema(spark.table(table).schema).parquet(_location(spark, table))
-              .filter(F.col(PART).isin(touched) if touched else F.lit(False)))
-    merged = _aligned(spark, merge.upsert(target, df, key, order_by), table)
-    # By bucket, so that each is written by few tasks; AQE joins small buckets and splits large ones.
-    _overwrite_parts(spark, merged.hint("rebalance", F.col(PART)), table)
+    rows = spark.read.schema(spark.table(table).schema).parquet(_location(spark, table))
+    return rows.filter(F.col(PART).isin(touched) if touched else F.lit(False))
 
 
 def batch_part(batch_id: int, writer: str = "") -> int:
