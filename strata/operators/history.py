@@ -31,7 +31,11 @@ def scd2(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str], order_
 def scd2_merge(history: DataFrame, updates: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                order_by: Sequence[str], unit: str = "day") -> DataFrame:
     """Bring a batch of changes into a history: versions of the touched keys are rebuilt, all others pass as they
-    are. Late changes are placed where they belong in time."""
+    are. Late changes are placed where they belong in time.
+
+    A history holds versions, not every change it was built from: a change that repeated the state of its time left
+    none, and is not brought back by a late change before it.
+    """
     touched = updates.select(*keys).distinct()
     columns = [*dict.fromkeys((*keys, *tracked, *order_by))]
     past = history.join(touched, list(keys), "left_semi").withColumnRenamed(START, order_by[0])

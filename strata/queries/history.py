@@ -39,13 +39,22 @@ def _merged(spark, folder):
     return history.scd2_merge(base, events.filter(late), KEYS, ["event_type", "value"], ORDER)
 
 
-MERGED_SQL = """
-    WITH compared AS (
+# A base event that repeated its user's state left no version, so a late change before it does not bring it back.
+_OPENED = """
+    SELECT user_id, event_type, value, ts, event_id FROM (
         SELECT *, lag(struct_pack(event_type, value)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before
-        FROM events)
+        FROM {feed})
+    WHERE before IS NULL OR struct_pack(event_type, value) IS DISTINCT FROM before"""
+_LATE = "event_type IN ('signup', 'view')"
+MERGED_SQL = f"""
+    WITH base AS ({_OPENED.format(feed=f"(SELECT * FROM events WHERE NOT ({_LATE}))")}),
+    feed AS (
+        SELECT * FROM base
+        UNION ALL SELECT user_id, event_type, value, ts, event_id FROM events WHERE {_LATE}),
+    opened AS ({_OPENED.format(feed="feed")})
     SELECT user_id, event_type, value, ts AS __start_at, event_id,
            lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS __end_at
-    FROM compared WHERE before IS NULL OR struct_pack(event_type, value) IS DISTINCT FROM before"""
+    FROM opened"""
 
 
 def _state_at(spark, folder):
