@@ -100,8 +100,12 @@ def schedule(aims: DataFrame, slot_tokens: int = SLOT_TOKENS) -> DataFrame:
         "slot", "source", (F.col("before") + F.col("k") - 1).alias("rank"))
 
 
-def laid_out(docs: DataFrame) -> DataFrame:
-    """Add ``begin``: tokens of the source before the document, in shuffled order. Needs ``doc_id, source, size``."""
+def laid_out(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """Add ``begin``: tokens of the source before the document, in shuffled order, and the columns of its source's plan.
+
+    ``docs``: ``doc_id, source, size``. ``plan``: one row per source, named ``s``; it is joined to the bucket sums, so
+    documents meet it by source and bucket, and a source with a third of all rows stays spread.
+    """
     # A bucket holds some thousand documents: their number follows the input.
     buckets = max(16, docs.count() // BUCKET_ROWS)
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -109,7 +113,8 @@ def laid_out(docs: DataFrame) -> DataFrame:
         "bucket", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)))
     sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     before = F.sum("n").over(W.partitionBy("source").orderBy("bucket")) - F.col("n")
-    sums = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), before.alias("before"))
+    sums = sums.withColumn("before", before).join(plan, F.col("source").eqNullSafe(F.col("s"))).drop(
+        "source", "n").withColumnRenamed("bucket", "b")
     order = W.partitionBy("source", "bucket").orderBy("key", F.col("doc_id").asc_nulls_last(), "size")
     within = F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
     return rows.withColumn("within", within).join(
@@ -133,7 +138,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     plan = aims.join(used.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     plan = plan.withColumn("take", F.round("target").cast("long")).select(
         F.col("source").alias("s"), "source_size", "target", "slots", "take")
-    placed = laid_out(rows).join(plan, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    placed = laid_out(rows, plan)
     z, begin, size = F.col("source_size"), F.col("begin"), F.col("size")
     # Blocks: the first r have q + 1 tokens, the others q.
     q, r = F.expr("take div slots"), F.expr("take % slots")
