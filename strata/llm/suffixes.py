@@ -275,7 +275,7 @@ def resolve(pieces: DataFrame, length: int, levels: list[int], group: int) -> Da
     different = sub.groupBy("h2", "ph2").agg(F.sum("n").alias("n"), F.first("off").alias("off"),
                                              F.first("count").alias("count"), F.first("bytes").alias("bytes"))
     different = different.withColumnsRenamed({"h2": "h", "ph2": "ph"})
-    known = different.groupBy("h").agg(F.count("*").alias("m"))
+    known = stored(different.groupBy("h").agg(F.count("*").alias("m")), "anchors")
     different = stored(different.join(known, "h"), "split")
     single = _all_starts(different.filter("m = 1 AND n > 1"))
     deeper = resolve(different.filter("m > 1"), length, levels[1:], group)
@@ -288,12 +288,13 @@ def repeated_starts(docs: DataFrame, text: str = "text", length: int = LENGTH, g
                     ) -> DataFrame:
     """``k1, k2, starts``: per different text, flat ranges (perhaps overlapping) of starts of repeated strings."""
     pieces = stored(piece_table(docs, text, length, gram), "pieces")
-    again = pieces.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h")
+    # Counts are stored before they are joined: then both sides of the join are plain exchanges, and a hot anchor splits.
+    again = stored(pieces.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1").select("h"), "anchors")
     pieces = stored(pieces.join(again, "h", "left_semi"), "again")
     place = F.struct("k1", "k2", "start", "off", "count")
     different = pieces.groupBy("h", "ph").agg(F.count("*").alias("n"), F.min(place).alias("at"))
     different = stored(different.select("h", "ph", "n", "at.*"), "different")
-    known = different.groupBy("h").agg(F.count("*").alias("m"))
+    known = stored(different.groupBy("h").agg(F.count("*").alias("m")), "anchors")
     different = different.join(known, "h")
     single = _all_starts(different.filter("m = 1"))
     # Bytes of one place per piece, where pieces of one anchor differ.

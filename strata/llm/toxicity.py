@@ -69,7 +69,7 @@ def features(part: Slice, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
 class Rates:
     alpha: float = 0.5
     beta: float = 1.0
-    l1: float = 1.0
+    l1: float = 2.0
     l2: float = 0.1
     passes: int = 3
 
