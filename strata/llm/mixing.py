@@ -53,11 +53,12 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     rising = W.orderBy((capped / F.col("weight")).asc(), F.col("source").asc_nulls_last())
     before, rest = rising.rowsBetween(W.unboundedPreceding, -1), rising.rowsBetween(0, W.unboundedFollowing)
     whole = W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    # Level if this source and all with a larger ratio were uncapped; the first that stays below its cap sets it.
+    # Level if this source and all with a larger ratio were uncapped. It rises up to the first source that stays below
+    # its cap and falls from there on, so the greatest that fits is the level of the mix.
     level = (F.sum("source_size").over(whole) - F.coalesce(F.sum(capped).over(before), F.lit(0))) / F.sum(
         "weight").over(rest)
     tried = weighed.withColumn("level", level).withColumn("fits", F.col("level") * F.col("weight") <= capped)
-    solved = tried.withColumn("at", F.min(F.when(F.col("fits"), F.col("level"))).over(whole))
+    solved = tried.withColumn("at", F.max(F.when(F.col("fits"), F.col("level"))).over(whole))
     aimed = solved.withColumn("target", F.least(F.coalesce(F.col("at") * F.col("weight"), capped.cast("double")),
                                                 capped.cast("double")))
     total = F.sum("target").over(whole)

@@ -113,7 +113,7 @@ lv AS (SELECT *, 3 * source_size AS cap, sum(source_size) OVER () AS total,
                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
               sum(weight) OVER (ORDER BY 3 * source_size / weight, encode(source) NULLS LAST
                        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM w),
-fit AS (SELECT min((total - below)::BIGINT / rest::BIGINT) AS level FROM lv
+fit AS (SELECT max((total - below)::BIGINT / rest::BIGINT) AS level FROM lv
         WHERE (total - below)::BIGINT / rest::BIGINT * weight <= cap),
 t AS (SELECT source, source_size, coalesce(least(level * weight, cap::DOUBLE), cap::DOUBLE) AS target
       FROM lv LEFT JOIN fit ON true),
