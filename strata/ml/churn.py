@@ -93,14 +93,17 @@ class Trained:
 
 
 def train(df: DataFrame, label: str = LABEL, key: str = ID, trees: int = 10, seed: int = 42, tenths: int = 8,
-          drop_last: bool = False) -> Trained:
-    """Fit index, one-hot, assemble, scale and random forest on the training rows; score and rate the test rows."""
+          drop_last: bool = False, max_categories: int = MAX_CATEGORIES) -> Trained:
+    """Fit index, one-hot, assemble, scale and random forest on the training rows; score and rate the test rows.
+
+    ``max_categories``: the most values that a text column may have (each becomes a vector slot).
+    """
     numeric, categorical = feature_columns(df, label, (key,))
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed)
     # The fit passes over the rows many times, and rating them once more.
     rows = prepared(df, numeric).filter(F.col(label).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        check_categories(rows, categorical)
+        check_categories(rows, categorical, max_categories)
         fit_rows, test_rows = split(rows, key, tenths)
         model = Pipeline(stages=[*feature_pipeline(numeric, categorical, drop_last), forest]).fit(fit_rows)
         scored = score(model, test_rows)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 _SIMPLE_AGGREGATE = re.compile(r"\s*(sum|count|avg|min|max)\s*\(\s*([A-Za-z_]\w*)\s*\)\s*", re.IGNORECASE)
 
@@ -47,7 +48,7 @@ def aggregate(df: DataFrame, group_by: Sequence[str], aggregations: Mapping[str,
 
 
 def join_aggregate(left: DataFrame, right: DataFrame, on: str, how: str, group_by: Sequence[str],
-                   aggregations: Mapping[str, str]) -> DataFrame:
+                   aggregations: Mapping[str, str], skewed: bool = False) -> DataFrame:
     """``aggregate(join(left, right))``, with the right side summed up per key before the join where that is exact.
 
     That holds for an inner or left join grouped by left columns, when every aggregate is a plain sum, count, avg,
@@ -55,13 +56,16 @@ def join_aggregate(left: DataFrame, right: DataFrame, on: str, how: str, group_b
     shuffle; and since the final grouping contains the join key's partitioning, it needs no shuffle of its own when
     the key is grouped on.
     """
-    plain = join(left, right, on, how)
+    plain = join(left, right, on, how, skewed)
     naive = aggregate(plain, group_by, aggregations)
     parsed = {alias: _SIMPLE_AGGREGATE.fullmatch(text) for alias, text in aggregations.items()}
     right_only = set(right.columns) - set(left.columns)
     eager = (how.lower().replace("_", "") in ("inner", "left", "leftouter")
              and bool(group_by) and set(group_by) <= set(left.columns)
-             and all(m and m.group(2) in right_only for m in parsed.values()))
+             and all(m and m.group(2) in right_only for m in parsed.values())
+             # A sum divided by a count has too few digits for averages of decimals with a larger scale.
+             and not any(m.group(1).lower() == "avg" and isinstance(t := right.schema[m.group(2)].dataType, DecimalType)
+                         and t.scale > 2 for m in parsed.values()))
     if not eager:
         return naive
     partial, final = {}, []

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,12 +38,14 @@ def scd2_merge(history: DataFrame, updates: DataFrame, keys: Sequence[str], trac
     A history holds versions, not every change it was built from: a change that repeated the state of its time left
     none, and is not brought back by a late change before it.
     """
-    touched = updates.select(*keys).distinct()
+    touched = updates.select(*[F.col(k).alias(f"_key_{k}") for k in keys]).distinct()
+    # Null-safe: changes without a key form one history, as in ``scd2``.
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
     columns = [*dict.fromkeys((*keys, *tracked, *order_by))]
-    past = history.join(touched, list(keys), "left_semi").withColumnRenamed(START, order_by[0])
+    past = history.join(touched, same, "left_semi").withColumnRenamed(START, order_by[0])
     rebuilt = scd2(past.select(*columns).unionByName(updates.select(*columns)).distinct(), keys, tracked, order_by,
                    unit)
-    return history.join(touched, list(keys), "left_anti").unionByName(rebuilt)
+    return history.join(touched, same, "left_anti").unionByName(rebuilt)
 
 
 def state_at(history: DataFrame, instant: Column) -> DataFrame:
@@ -53,6 +57,8 @@ def as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], time: str,
           tie_break: Sequence[str] = (), unit: str = "day") -> DataFrame:
     """For each fact row the ``columns`` of its key's version in force at ``time``, NULL if there was none.
 
+    A column that the facts have too is named ``version_<column>``.
+
     Facts and version starts are merged into one ordered sequence per key, so the work is linear in both. A
     range-condition join would pair every fact with every version of its key.
     """
@@ -70,4 +76,4 @@ def as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], time: str,
     in_force = F.col("_found._end").isNull() | (F.col("_found._end") > F.col(time))
     return filled.select(
         *[F.col("_fact")[c].alias(c) for c in facts.columns],
-        *[F.when(in_force, F.col("_found")[c]).alias(c) for c in columns])
+        *[F.when(in_force, F.col("_found")[c]).alias(f"version_{c}" if c in facts.columns else c) for c in columns])

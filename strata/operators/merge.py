@@ -36,7 +36,8 @@ def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> Dat
 def upsert(target: DataFrame, source: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
     """Merge on key equality: a matching source row replaces the target row, all other source rows are added.
 
-    The source is first reduced to one row per key. NULL keys match nothing: those rows of both sides pass through
+    The source is first reduced to one row per key. With ``order_by`` a target row that is later by it stays, so the
+    result does not depend on how the input is cut into batches; at a tie the source row wins. NULL keys match nothing: those rows of both sides pass through
     beside the join. Columns only one side has are kept; a target value survives where the source lacks its column.
     """
     has_key = F.col(key).isNotNull()
@@ -48,6 +49,11 @@ def upsert(target: DataFrame, source: DataFrame, key: str, order_by: Sequence[st
 def upsert_keyed(target: DataFrame, source: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFrame:
     """The upsert of rows that all have a key."""
     latest = latest_per_key(source, key, order_by)
+    order = [c for c in order_by if c in target.columns and c in source.columns]
+    if order:
+        stale = target.select(key, F.struct(*order).alias("_have")).join(
+            latest.select(key, F.struct(*order).alias("_new")), key).filter("_have > _new").select(key)
+        latest = latest.join(stale, key, "left_anti")
     kept = target.join(latest.select(key), key, "left_anti")
     carried = [c for c in target.columns if c not in source.columns]
     if carried:

@@ -96,7 +96,8 @@ def build_gold(spark: SparkSession, entry: Mapping[str, Any]) -> DataFrame:
         df = gold.join_tables(df, joins[:-1], read, lambda t: tables.exists(spark, t))
         last = joins[-1]
         df = gold.join_aggregate(
-            df, read(last["table"]), last["on"], last.get("type", "inner"), group_by, aggregations)
+            df, read(last["table"]), last["on"], last.get("type", "inner"), group_by, aggregations,
+            last.get("skewed", False))
     else:
         df = gold.join_tables(df, joins, read, lambda t: tables.exists(spark, t))
         df = gold.aggregate(df, group_by, aggregations)
@@ -142,7 +143,7 @@ class _Context:
             file_format=entry.get("format", "json").lower(), explode=entry.get("explode_col"),
             rules=entry.get("rules", {}), merge_key=entry.get("merge_key"),
             order_by=entry.get("order_by", DEFAULT_ORDER), buckets=entry.get("buckets", tables.DEFAULT_BUCKETS),
-            run_mode=self.run_mode, user=self.user, batch_bytes=entry.get("batch_bytes"),
+            rescue_fields=entry.get("rescue_fields", False), event_time=entry.get("event_time", "ingested_at"), run_mode=self.run_mode, user=self.user, batch_bytes=entry.get("batch_bytes"),
             stage=self.path(f"stage/{entry['name']}") if entry.get("stage") else None,
             metrics=self.spec.get("settings", {}).get("metrics_table"))
         checkpoint = self.checkpoint(entry)

@@ -15,7 +15,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NullType, StringType, StructType, TimestampNTZType
+from pyspark.sql.types import (
+    ArrayType, DataType, DateType, DecimalType, MapType, NullType, StringType, StructType, TimestampNTZType)
 
 from strata.operators import merge
 
@@ -155,19 +156,36 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], interleave
 
 
 RANK_BITS = 5
+# Rows from which the quantiles of text columns are taken; only layout depends on them.
+RANK_SAMPLE = 10_000
 
 
 def _z_value(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Interleaved bits of each column's quantile rank (0 to 31)."""
-    numbers = [_as_number(df, c) for c in columns]
+    """Interleaved bits of each column's quantile rank (0 to 31).
+
+    Numbers and times are ranked by approximate quantiles, texts by the quantiles of a sample, compared as whole texts.
+    """
+    if RANK_BITS * len(columns) > 63:
+        raise ValueError(f"at most {63 // RANK_BITS} columns can be interleaved")
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+    values = [F.col(c) if c in texts else _as_number(df, c) for c in columns]
     cuts = [i / 2 ** RANK_BITS for i in range(1, 2 ** RANK_BITS)]
     # One row of 31 numbers per column.
-    bounds = df.agg(*[F.percentile_approx(n, cuts, 2000).alias(f"_{i}") for i, n in enumerate(numbers)]).first()
+    numbers = [v if c not in texts else F.lit(0.0) for c, v in zip(columns, values)]
+    first = df.agg(F.count("*").alias("rows"), *[
+        F.percentile_approx(n, cuts, 2000).alias(f"_{i}") for i, n in enumerate(numbers)]).first()
+    bounds = {c: first[f"_{i}"] or [] for i, c in enumerate(columns)}
+    if texts:
+        share = min(1.0, RANK_SAMPLE / max(first["rows"], 1))
+        sample = df.select(*[F.substring(c, 1, 1000).alias(c) for c in texts]).sample(fraction=share, seed=5).limit(2 * RANK_SAMPLE).collect()
+        for c in texts:
+            seen = sorted(row[c] for row in sample if row[c] is not None)
+            bounds[c] = [seen[int(cut * len(seen))] for cut in cuts] if seen else []
     z = F.lit(0).cast("long")
-    for i, number in enumerate(numbers):
+    for i, (column, value) in enumerate(zip(columns, values)):
         rank = F.lit(0)
-        for bound in bounds[i] or []:
-            rank = rank + F.coalesce((number >= bound).cast("int"), F.lit(0))
+        for bound in bounds[column]:
+            rank = rank + F.coalesce((value >= F.lit(bound)).cast("int"), F.lit(0))
         for bit in range(RANK_BITS):
             one = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long")
             z = z + F.shiftleft(one, bit * len(columns) + len(columns) - 1 - i)
@@ -175,10 +193,8 @@ def _z_value(df: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def _as_number(df: DataFrame, column: str) -> Column:
-    """A number in the column's order: times as seconds, texts by their first bytes."""
+    """A number in the column's order: times as seconds."""
     value, data_type = F.col(column), df.schema[column].dataType
-    if isinstance(data_type, StringType):
-        return F.conv(F.rpad(F.hex(F.substring(value, 1, 7)), 14, "0"), 16, 10).cast("double")
     if isinstance(data_type, (DateType, TimestampNTZType)):
         value = value.cast("timestamp")
     return value.cast("double")
@@ -193,8 +209,24 @@ def _name(table: str) -> str:
 
 def _ddl(schema: StructType) -> str:
     return ", ".join(
-        f"`{f.name}` {'string' if isinstance(f.dataType, NullType) else f.dataType.simpleString()}"
-        for f in schema.fields)
+        f"{_quoted(f.name)} {_type_ddl(f.dataType)}" for f in schema.fields)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _type_ddl(kind: DataType) -> str:
+    """A type as SQL text, with the names of nested fields quoted."""
+    if isinstance(kind, NullType):
+        return "string"
+    if isinstance(kind, StructType):
+        return f"struct<{', '.join(f'{_quoted(f.name)}: {_type_ddl(f.dataType)}' for f in kind.fields)}>"
+    if isinstance(kind, ArrayType):
+        return f"array<{_type_ddl(kind.elementType)}>"
+    if isinstance(kind, MapType):
+        return f"map<{_type_ddl(kind.keyType)}, {_type_ddl(kind.valueType)}>"
+    return kind.simpleString()
 
 
 def _columns(schema: StructType) -> list[tuple[str, str]]:
@@ -246,11 +278,36 @@ def _aligned(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Widen the table by the frame's new columns, then order the frame by the table's columns."""
     schema = evolve(spark, df.schema, table)
     have = {c.lower(): c for c in df.columns}
+    given = {f.name.lower(): f.dataType for f in df.schema.fields}
+    lossy = [f"{f.name}: {given[f.name.lower()].simpleString()} to {f.dataType.simpleString()}" for f in schema.fields
+             if f.name.lower() in given and _loses(given[f.name.lower()], f.dataType)]
+    if lossy:
+        raise ValueError(f"table {table!r} cannot hold these values without loss: {', '.join(lossy)}")
     return df.select(*[
         (F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema.fields])
 
 
+# Bits of value that a numeric type holds exactly.
+_WHOLE = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+_REAL = {"float": 24, "double": 53}
+
+
+def _loses(given: DataType, wanted: DataType) -> bool:
+    """Whether a cast could change numbers or times (texts and nested values are left to the cast)."""
+    a, b = given.simpleString(), wanted.simpleString()
+    if a == b:
+        return False
+    if a in _WHOLE:
+        return b in _WHOLE and _WHOLE[b] < _WHOLE[a] or b == "boolean"
+    if a in _REAL:
+        return b in _WHOLE or _REAL.get(b, 53) < _REAL[a] or b.startswith("decimal")
+    if isinstance(given, DecimalType):
+        return b in _WHOLE or isinstance(wanted, DecimalType) and (
+            wanted.scale < given.scale or wanted.precision - wanted.scale < given.precision - given.scale)
+    return a.startswith("timestamp") and b == "date"
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterable[None]:
     setting = "spark.sql.sources.partitionOverwriteMode"

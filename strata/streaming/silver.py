@@ -40,6 +40,10 @@ class SilverTable:
     # A folder for the parsed batch. Without it the batch is cached on the executors, which suits batches that fit
     # there; a backfill is better written once and read back column by column.
     stage: str | None = None
+    # Keep JSON records with undeclared or ill-typed fields in the rescued column, beside their fields.
+    rescue_fields: bool = False
+    # The column whose greatest valid value the metrics report as the latest event.
+    event_time: str = "ingested_at"
     # A table for the counts per rule of each batch.
     metrics: str | None = None
 
@@ -52,7 +56,7 @@ def parsed(raw: DataFrame, spec: SilverTable, headers: DataFrame | None = None)
     """Raw rows of the table's format, as typed and exploded rows."""
     rows = payload.of_format(raw, spec.file_format)
     if spec.file_format == "json":
-        rows = payload.parse_json(rows, spec.schema)
+        rows = payload.parse_json(rows, spec.schema, rescue_fields=spec.rescue_fields)
     elif spec.file_format == "csv":
         rows = payload.parse_csv(rows, spec.schema, headers=headers)
     else:
@@ -85,7 +89,7 @@ def store_batch(rows: DataFrame, batch_id: int, spec: SilverTable) -> dict[str,
         else:
             tables.append_batch(spark, valid, spec.target, batch_id, spec.name)
         if spec.metrics:
-            per_rule = quality.metrics(tagged, spec.rules, "ingested_at")
+            per_rule = quality.metrics(tagged, spec.rules, spec.event_time)
             tables.append_batch(spark, per_rule.select(
                 F.lit(spec.target).alias("table"), F.lit(batch_id).cast("long").alias("batch_id"), "*"),
                 spec.metrics, batch_id, spec.name)

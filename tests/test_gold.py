@@ -110,3 +110,13 @@ def test_churn_features_of_a_customer_without_transactions(spark):
     rows = {r.customer_id: r for r in reports.churn_features(customers, tx).collect()}
     assert (rows[1].total_lifetime_spend, rows[1].avg_tx_value, rows[1].frequency_score) == (6.0, 3.0, 2)
     assert (rows[2].total_lifetime_spend, rows[2].avg_tx_value, rows[2].frequency_score) == (None, None, 0)
+
+
+@pytest.mark.parametrize("kind", ["DECIMAL(18,6)", "DECIMAL(10,2)", "DECIMAL(9,0)", "INT", "DOUBLE"])
+def test_averages_before_the_join_equal_those_after_it(spark, kind):
+    left = spark.sql("SELECT * FROM VALUES (1, 'a'), (2, 'a'), (3, 'b') AS t(k, g)")
+    right = spark.sql(f"""SELECT k, CAST(v AS {kind}) AS v
+                          FROM VALUES (1, 0.000001), (1, 0.000002), (2, 0.000002), (2, 1), (3, 7), (3, 2) AS t(k, v)""")
+    found = gold.join_aggregate(left, right, "k", "left", ["g"], {"m": "avg(v)"})
+    plain = gold.aggregate(gold.join(left, right, "k", "left"), ["g"], {"m": "avg(v)"})
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))

@@ -1,3 +1,4 @@
+from strata.queries import registry
 """The plans are the ones meant for large data."""
 
 import __spark_entry__ as contract
@@ -74,4 +75,4 @@ def test_contract(spark):
                           "mom_growth_pct"]
     names, oracles = contract.queries(), contract.oracle_sql()
     assert set(oracles) <= set(names)
-    assert set(names) - set(oracles) == {"ml_score", "ml_importances", "ml_run_log"}
+    assert set(registry()) - set(oracles) == {"ml_score", "ml_importances", "ml_run_log"}
