@@ -69,25 +69,15 @@ def fingerprints(docs: DataFrame, text: str = "text", output: str = "fp", shingl
 
 # --- the covering code ------------------------------------------------------------------------------------------------
 
-def _codewords(generator: int, dimension: int) -> np.ndarray:
-    words = np.zeros(1, np.int64)
-    for k in range(dimension):
-        words = np.concatenate([words, words ^ (generator << k)])
-    return np.sort(words)
-
-
-def _near(width: int, code: np.ndarray, radius: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Distance of each coset to the code, by syndrome-like remainder, and its error patterns within ``radius``.
-
-    All words of a coset see the code alike: word ^ pattern is an anchor for each pattern of its coset.
-    """
+def _light(width: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """All error patterns of at most ``most`` bits, and their weights."""
     words = np.arange(1 << width, dtype=np.int64)
     weight = np.bitwise_count(words).astype(np.int64)
-    light = words[weight <= radius]
-    return light, weight[light]
+    return words[weight <= most], weight[weight <= most]
 
 
 def _remainder(x: np.ndarray, generator: int, width: int) -> np.ndarray:
+    """The coset of a word. All words of one coset see the code alike: word ^ pattern is an anchor."""
     degree = generator.bit_length() - 1
     x = x.copy()
     for k in range(width - 1, degree - 1, -1):
@@ -105,7 +95,7 @@ class Cover:
 
     def _patterns(self, generator: int, width: int, radius: int) -> dict[int, list[np.ndarray]]:
         """By coset: error patterns of each weight above the coset's least, up to the slack."""
-        light, weight = _near(width, np.zeros(0), radius + self.slack)
+        light, weight = _light(width, radius + self.slack)
         coset = _remainder(light, generator, width)
         out: dict[int, list[np.ndarray]] = {}
         order = np.lexsort((weight, coset))
