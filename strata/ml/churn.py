@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -125,17 +126,23 @@ def churn_probability() -> Column:
     return vector_to_array("probability")[1]
 
 
-def auc(scored: DataFrame, label: str, score_column: str, buckets: int = 4096) -> DataFrame:
+def auc(scored: DataFrame, label: str, score_column: str, buckets: int = 1024) -> DataFrame:
     """Area under the ROC curve by rank sums, ties averaged: ``auc``, ``positives``, ``negatives``.
 
     Rows are first counted per distinct score. Ranks are then running counts: within score buckets in parallel, and
-    over the at most ``buckets`` + 1 bucket totals. NULL if one class is absent.
+    over the at most ``buckets`` bucket totals. Buckets are cut at quantiles of the distinct scores, so scores that lie
+    close together, or outside [0, 1], spread like others. NULL if one class is absent.
     """
     counted = scored.filter(F.col(label).isNotNull() & F.col(score_column).isNotNull()).groupBy(
         F.col(score_column).cast("double").alias("_score")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) != 1).alias("_neg"))
-    in_unit = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_score")))
-    counted = counted.withColumn("_bucket", F.floor(in_unit * buckets))
+    cuts = counted.approxQuantile("_score", [i / buckets for i in range(1, buckets)], 0.25 / buckets)
+    inner = sorted({c + 0.0 for c in cuts if math.isfinite(c)})
+    if inner:
+        counted = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_score", outputCol="_bucket",
+                             handleInvalid="keep").transform(counted)
+    else:
+        counted = counted.withColumn("_bucket", F.lit(0.0))
     totals = counted.groupBy("_bucket").agg(F.sum("_neg").alias("_bucket_neg"))
     below = totals.select("_bucket", F.coalesce(F.sum("_bucket_neg").over(
         Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_below"))

@@ -31,18 +31,20 @@ def scd2(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str], order_
 
 
 def scd2_merge(history: DataFrame, updates: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-               order_by: Sequence[str], unit: str = "day") -> DataFrame:
+               order_by: Sequence[str], unit: str = "day", changes: DataFrame | None = None) -> DataFrame:
     """Bring a batch of changes into a history: versions of the touched keys are rebuilt, all others pass as they
     are. Late changes are placed where they belong in time.
 
-    A history holds versions, not every change it was built from: a change that repeated the state of its time left
-    none, and is not brought back by a late change before it.
+    Give ``changes``, the feed that the history was built from, for the result of a full rebuild. Without it the
+    versions stand for it: a change that repeated the state of its time left none, and is then not brought back by a
+    late change before it.
     """
     touched = updates.select(*[F.col(k).alias(f"_key_{k}") for k in keys]).distinct()
     # Null-safe: changes without a key form one history, as in ``scd2``.
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
     columns = [*dict.fromkeys((*keys, *tracked, *order_by))]
-    past = history.join(touched, same, "left_semi").withColumnRenamed(START, order_by[0])
+    earlier = history.withColumnRenamed(START, order_by[0]) if changes is None else changes
+    past = earlier.join(touched, same, "left_semi")
     rebuilt = scd2(past.select(*columns).unionByName(updates.select(*columns)).distinct(), keys, tracked, order_by,
                    unit)
     return history.join(touched, same, "left_anti").unionByName(rebuilt)

@@ -15,7 +15,10 @@ Entries run in the order listed. In a ``run_mode`` other than ``local`` the sett
 apply. ``metrics_table`` (optional) collects the counts per rule of each silver batch. Optional keys of entries: ``optional`` (skip a missing source or join table),
 ``order_by`` (which duplicate of a merge key wins), ``buckets``, ``glob`` (which typed files), ``max_bytes`` (the
 largest file kept as one bronze row), ``batch_bytes`` (input per batch), ``stage`` (true: parsed batches go through
-files, not executor caches), ``cluster_by``, ``interleave`` and ``external_location`` (layout and place of a gold table).
+files, not executor caches), ``cluster_by`` (columns that the files of a silver or gold table hold ranges of; a gold
+table's ``sort_by`` is then left to its readers), ``history`` (of a silver entry: ``keys``, ``tracked`` and ``order_by``
+of a type-2 history that takes the place of the rows), ``interleave`` and ``external_location`` (layout and place of a
+gold table).
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import gold
 from strata.plans.audit import layer_report
-from strata.sources import tables
+from strata.sources import history_tables, tables
 from strata.sources.files import TYPED_FORMATS, WHOLE_FILE_BYTES
 from strata.streaming import bronze, silver
 
@@ -82,6 +85,8 @@ def drop_targets(spark: SparkSession, manifest: str | Mapping[str, Any]) -> None
     for entry in load(manifest)["tables"]:
         tables.drop(spark, entry["target_table"])
         tables.drop(spark, f"{entry['target_table']}_quarantine")
+        if entry.get("history"):
+            tables.drop(spark, history_tables.changes_of(entry["target_table"]))
 
 
 def build_gold(spark: SparkSession, entry: Mapping[str, Any]) -> DataFrame:
@@ -143,7 +148,9 @@ class _Context:
             file_format=entry.get("format", "json").lower(), explode=entry.get("explode_col"),
             rules=entry.get("rules", {}), merge_key=entry.get("merge_key"),
             order_by=entry.get("order_by", DEFAULT_ORDER), buckets=entry.get("buckets", tables.DEFAULT_BUCKETS),
-            rescue_fields=entry.get("rescue_fields", False), event_time=entry.get("event_time", "ingested_at"), run_mode=self.run_mode, user=self.user, batch_bytes=entry.get("batch_bytes"),
+            rescue_fields=entry.get("rescue_fields", False), event_time=entry.get("event_time", "ingested_at"),
+            cluster_by=entry.get("cluster_by", ()), history=entry.get("history"), run_mode=self.run_mode,
+            user=self.user, batch_bytes=entry.get("batch_bytes"),
             stage=self.path(f"stage/{entry['name']}") if entry.get("stage") else None,
             metrics=self.spec.get("settings", {}).get("metrics_table"))
         checkpoint = self.checkpoint(entry)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.operators import history
-from strata.queries.inputs import table
+from strata.queries.inputs import scratch_schema, table
 from strata.session import shared_dir
+from strata.sources import history_tables, tables
 
 KEYS, TRACKED, ORDER = ["user_id"], ["event_type"], ["ts", "event_id"]
 
@@ -31,30 +32,35 @@ HISTORY_SQL = """
     FROM compared WHERE n = 1 OR event_type IS DISTINCT FROM before"""
 
 
+STATE = ["event_type", "value"]
+_LATE = "event_type IN ('signup', 'view')"
+
+
 def _merged(spark, folder):
     # Signups and views arrive late, after all other events are in the history.
     events = table(spark, folder, "events")
-    late = F.col("event_type").isin("signup", "view")
-    base = history.scd2(events.filter(~late), KEYS, ["event_type", "value"], ORDER)
-    return history.scd2_merge(base, events.filter(late), KEYS, ["event_type", "value"], ORDER)
+    early, late = events.filter(f"NOT ({_LATE})"), events.filter(_LATE)
+    base = history.scd2(early, KEYS, STATE, ORDER)
+    return history.scd2_merge(base, late, KEYS, STATE, ORDER, changes=early)
 
 
-# A base event that repeated its user's state left no version, so a late change before it does not bring it back.
-_OPENED = """
-    SELECT user_id, event_type, value, ts, event_id FROM (
-        SELECT *, lag(struct_pack(event_type, value)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before
-        FROM {feed})
-    WHERE before IS NULL OR struct_pack(event_type, value) IS DISTINCT FROM before"""
-_LATE = "event_type IN ('signup', 'view')"
-MERGED_SQL = f"""
-    WITH base AS ({_OPENED.format(feed=f"(SELECT * FROM events WHERE NOT ({_LATE}))")}),
-    feed AS (
-        SELECT * FROM base
-        UNION ALL SELECT user_id, event_type, value, ts, event_id FROM events WHERE {_LATE}),
-    opened AS ({_OPENED.format(feed="feed")})
+def _table(spark, folder):
+    # The late batch is merged twice, as after a lost driver.
+    events = table(spark, folder, "events")
+    name = f"{scratch_schema(spark, 'history')}.states"
+    for batch in (events.filter(f"NOT ({_LATE})"), events.filter(_LATE), events.filter(_LATE)):
+        history_tables.merge(spark, batch, name, KEYS, STATE, ORDER, buckets=8)
+    return tables.read(spark, name)
+
+
+# However the changes were cut into batches, the history is that of all of them.
+MERGED_SQL = """
+    WITH compared AS (
+        SELECT *, lag(struct_pack(event_type, value)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before,
+               row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)
     SELECT user_id, event_type, value, ts AS __start_at, event_id,
            lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS __end_at
-    FROM opened"""
+    FROM compared WHERE n = 1 OR struct_pack(event_type, value) IS DISTINCT FROM before"""
 
 
 def _state_at(spark, folder):
@@ -76,6 +82,7 @@ AS_OF_SQL = f"""
 QUERIES = {
     "scd2_history": (_history, HISTORY_SQL),
     "scd2_merge": (_merged, MERGED_SQL),
+    "scd2_table": (_table, MERGED_SQL),
     "state_at": (_state_at, f"""
         SELECT * FROM ({HISTORY_SQL})
         WHERE __start_at <= TIMESTAMP '2024-01-15' AND (__end_at IS NULL OR __end_at > TIMESTAMP '2024-01-15')"""),

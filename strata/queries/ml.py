@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.ml import churn
@@ -81,14 +82,33 @@ def _score(spark, folder):
     # The model goes through storage, as a scoring job would get it.
     path, features = shared_dir(spark, "model"), _feature_table(spark, folder)
     churn.save(churn.train(features).model, path)
-    scored = churn.score(churn.load(path), features)
-    return scored.select("customer_id", "is_churned", "prediction", F.round(churn.churn_probability(), 6).alias(
-        "churn_probability"))
+    scored = churn.score(churn.load(path), features).withColumn("p", vector_to_array("probability"))
+    # What the forest answers is its own; that every row has one consistent answer can be stated.
+    return scored.select(
+        "customer_id", "is_churned", ((F.col("prediction") == 1) == (F.col("p")[1] > F.col("p")[0])).alias("agrees"),
+        (F.col("p")[1].between(0, 1) & (F.abs(F.col("p")[0] + F.col("p")[1] - 1) < 1e-9)).alias("is_probability"))
+
+
+SCORE_SQL = f"SELECT customer_id, is_churned, true AS agrees, true AS is_probability FROM ({CHURN})"
 
 
 def _importances(spark, folder):
     features = _feature_table(spark, folder)
-    return churn.importances(churn.train(features, trees=20).model, features)
+    weights = churn.importances(churn.train(features, trees=20).model, features)
+    # One row per vector slot.
+    total = F.sum("importance").over(Window.partitionBy(F.lit(1)))
+    return weights.select("feature", "source_column", F.col("importance").between(0, 1).alias("is_share"),
+                          (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
+
+
+_KEY_HASH = "CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 8) AS BIGINT) % 10"
+# One slot per number, per tier of the training rows, and for unseen tiers.
+IMPORTANCES_SQL = f"""
+    SELECT feature, source_column, true AS is_share, true AS sums_to_one FROM (
+        SELECT unnest([{", ".join(f"'{c}'" for c in NUMBERS)}]) AS feature, feature AS source_column
+        UNION ALL SELECT DISTINCT 'tier_vec_' || tier, 'tier' FROM ({CHURN})
+                  WHERE {_KEY_HASH} < 8 AND is_churned IS NOT NULL
+        UNION ALL SELECT 'tier_vec___unknown', 'tier')"""
 
 
 def _run_log(spark, folder):
@@ -96,7 +116,14 @@ def _run_log(spark, folder):
     for trees in (5, 10):
         trained = churn.train(features, trees=trees, tenths=7, drop_last=True)
         churn.log_run(spark, trained, f"churn_{trees}", "gold_ml.churn_features", table=name)
-    return spark.table(name).drop("logged_at")
+    return spark.table(name).drop("logged_at").withColumn("auc", F.col("auc").between(0, 1))
+
+
+RUN_LOG_SQL = f"""
+    SELECT 'churn_' || trees AS run_name, 'gold_ml.churn_features' AS table_name, trees AS num_trees,
+           count(*) FILTER ({_KEY_HASH} < 7) AS train_rows, count(*) FILTER ({_KEY_HASH} >= 7) AS test_rows,
+           {len(NUMBERS) + 1} AS feature_columns, true AS auc
+    FROM ({CHURN}), (SELECT unnest([5, 10]) AS trees) WHERE is_churned IS NOT NULL GROUP BY trees"""
 
 
 def _auc(spark, folder):
@@ -124,8 +151,8 @@ QUERIES = {
     "ml_one_hot": (_one_hot, ONE_HOT_SQL),
     "ml_scale": (_scale, SCALE_SQL),
     "ml_split": (_split, SPLIT_SQL),
-    "ml_score": (_score, None),
-    "ml_importances": (_importances, None),
-    "ml_run_log": (_run_log, None),
+    "ml_score": (_score, SCORE_SQL),
+    "ml_importances": (_importances, IMPORTANCES_SQL),
+    "ml_run_log": (_run_log, RUN_LOG_SQL),
     "ml_auc": (_auc, AUC_SQL),
 }

@@ -4,14 +4,18 @@ Tables that batches are merged into carry one layout column, ``_part``. Rows wit
 key, so an upsert rewrites only the buckets its keys fall into. Rows without a key lie in a partition of their own
 writer and batch. Either way the partitions of a replayed batch are overwritten by the same content, so a replay adds
 nothing. (Batch numbers belong to a stream's checkpoint: drop the table together with the checkpoint.)
+
+A batch writes its partitions to a folder of its own below the table and then points the table at them, one partition
+after another. The files that a partition had before stay until it is written again, so a driver lost at any moment
+loses no row, and replaying its batch completes the merge.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 import zlib
-from collections.abc import Iterable, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +27,9 @@ from strata.operators import merge
 PART = "_part"
 BUCKETS_PROPERTY = "strata.buckets"
 DEFAULT_BUCKETS = 64
+# Versions of a partition or of a refreshed table that are kept: the current one, and the one that readers who began
+# before the last write may still be reading.
+KEPT_VERSIONS = 2
 
 
 def ensure_schema(spark: SparkSession, table: str) -> None:
@@ -61,45 +68,51 @@ def append(spark: SparkSession, df: DataFrame, table: str) -> None:
     ensure_schema(spark, table)
     if not exists(spark, table):
         _create(spark, table, df.schema)
-    _aligned(spark, df, table).write.insertInto(table)
+    aligned(spark, df, table).write.insertInto(table)
 
 
 def append_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: int, writer: str = "",
-                 rebalance: bool = False) -> None:
+                 rebalance: bool = False, cluster_by: Sequence[str] = ()) -> None:
     """Append the rows of one batch; a replay of the batch replaces them. ``writer`` tells apart the jobs that share
     a table, as each counts its own batches. Every task writes its rows where they are, unless ``rebalance`` asks
-    for evenly sized files."""
+    for evenly sized files or ``cluster_by`` for ranges of some columns."""
     df = df.withColumn(PART, F.lit(batch_part(batch_id, writer)).cast("long"))
-    _ensure_merge_table(spark, df, table)
-    aligned = _aligned(spark, df, table)
-    _overwrite_parts(spark, aligned.hint("rebalance") if rebalance else aligned, table)
+    ensure_merge_table(spark, df, table)
+    rows = aligned(spark, df, table)
+    if cluster_by:
+        rows = clustered(rows, cluster_by)
+    elif rebalance:
+        rows = rows.hint("rebalance")
+    overwrite_parts(spark, rows, table)
 
 
 def upsert(spark: SparkSession, df: DataFrame, table: str, key: str, batch_id: int = 0,
-           order_by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS, writer: str = "") -> None:
+           order_by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS, writer: str = "",
+           cluster_by: Sequence[str] = ()) -> None:
     """Merge a batch into a table by key (see :func:`strata.operators.merge.upsert`).
 
-    ``buckets`` counts when the table is created; choose it so that a bucket is some gigabytes at most.
+    ``buckets`` counts when the table is created; choose it so that a bucket is some gigabytes at most. With
+    ``cluster_by`` each bucket's files hold ranges of those columns.
     """
     new = not exists(spark, table)
-    _ensure_merge_table(spark, df.withColumn(PART, F.lit(0).cast("long")), table, buckets)
-    buckets = int(_property(spark, table, BUCKETS_PROPERTY))
+    ensure_merge_table(spark, df.withColumn(PART, F.lit(0).cast("long")), table, buckets)
+    buckets = bucket_count(spark, table)
     df = df.withColumn(PART, part_of(key, batch_id, buckets, writer))
     keyed, loose = df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
     merged = merge.latest_per_key(keyed, key, order_by) if new else merge.upsert_keyed(
-        _touched(spark, table, keyed), keyed, key, order_by)
+        touched_rows(spark, table, keyed), keyed, key, order_by)
+    merged = aligned(spark, merge.append_evolved(merged, loose), table)
     # By bucket, so that each is written by few tasks; AQE joins small buckets and splits large ones.
-    merged = _aligned(spark, merge.append_evolved(merged, loose), table).hint("rebalance", F.col(PART))
-    _overwrite_parts(spark, merged, table)
+    merged = clustered(merged, [PART, *cluster_by]) if cluster_by else merged.hint("rebalance", F.col(PART))
+    overwrite_parts(spark, merged, table)
 
 
-def _touched(spark: SparkSession, table: str, keyed: DataFrame) -> DataFrame:
-    """The table's rows in the buckets that the keys fall into."""
+def touched_rows(spark: SparkSession, table: str, batch: DataFrame) -> DataFrame:
+    """The table's rows in the partitions that the rows of a batch fall into."""
     # At most `buckets` numbers: they prune the scan of the target to the partitions that change.
-    touched = [row[0] for row in keyed.select(PART).distinct().collect()]
-    # Read by path: Spark refuses to overwrite a table that the same statement reads by name.
-    rows = spark.read.schema(spark.table(table).schema).parquet(_location(spark, table))
-    return rows.filter(F.col(PART).isin(touched) if touched else F.lit(False))
+    touched = [row[0] for row in batch.select(PART).distinct().collect()]
+    spark.catalog.refreshTable(table)
+    return spark.read.table(table).filter(F.col(PART).isin(touched) if touched else F.lit(False))
 
 
 def batch_part(batch_id: int, writer: str = "") -> int:
@@ -118,20 +131,24 @@ def replace(spark: SparkSession, df: DataFrame, table: str, cluster_by: Sequence
     """Full refresh: write a new version beside the old one, then point the table at it.
 
     Readers see the old or the new version, never a half-written one, and a failed job leaves the old one in place.
-    A frame that is already sorted (``sort_by``) is written in its order, else by ``cluster_by``.
+    (A table whose columns change, or that was managed, is dropped and created anew: readers can miss it in between.)
+    The last ``KEPT_VERSIONS`` versions stay on disk. ``cluster_by`` lays the files out by those columns, and an order
+    of the result is then left to the query; without it a frame that is already sorted (``sort_by``) keeps its order.
     """
     ensure_schema(spark, table)
     root = location or _default_location(spark, table)
-    version = f"{root.rstrip('/')}.versions/{uuid.uuid4().hex[:12]}"
-    if sort_by:
-        laid_out = df
+    versions = f"{root.rstrip('/')}.versions"
+    version = f"{versions}/{_stamp()}"
+    if cluster_by:
+        laid_out = clustered(df, cluster_by, interleave)
     else:
-        laid_out = clustered(df, cluster_by, interleave) if cluster_by else df.hint("rebalance")
+        laid_out = df if sort_by else df.hint("rebalance")
     laid_out.write.parquet(version)
     if exists(spark, table):
         if _columns(spark.table(table).schema) == _columns(df.schema) and _is_external(spark, table):
             spark.sql(f"ALTER TABLE {_name(table)} SET LOCATION '{version}'")
             spark.catalog.refreshTable(table)
+            _retire(spark, f"{versions}/*")
             return
         drop(spark, table)
     _create(spark, table, df.schema, location=version)
@@ -267,14 +284,18 @@ def _property(spark: SparkSession, table: str, key: str) -> str:
     return row["value"]
 
 
-def _ensure_merge_table(spark: SparkSession, df: DataFrame, table: str, buckets: int = DEFAULT_BUCKETS) -> None:
+def bucket_count(spark: SparkSession, table: str) -> int:
+    return int(_property(spark, table, BUCKETS_PROPERTY))
+
+
+def ensure_merge_table(spark: SparkSession, df: DataFrame, table: str, buckets: int = DEFAULT_BUCKETS) -> None:
     ensure_schema(spark, table)
     if not exists(spark, table):
         last = StructType([f for f in df.schema.fields if f.name != PART] + [df.schema[PART]])
         _create(spark, table, last, parted=True, properties=f"TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{buckets}')")
 
 
-def _aligned(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+def aligned(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Widen the table by the frame's new columns, then order the frame by the table's columns."""
     schema = evolve(spark, df.schema, table)
     have = {c.lower(): c for c in df.columns}
@@ -308,17 +329,35 @@ def _loses(given: DataType, wanted: DataType) -> bool:
     return a.startswith("timestamp") and b == "date"
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterable[None]:
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+def overwrite_parts(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Replace the table's partitions that ``df`` (with the table's columns) has rows for; others stay untouched."""
+    root = f"{_location(spark, table).rstrip('/')}/_batches"
+    folder = f"{root}/{_stamp()}"
+    df.write.partitionBy(PART).parquet(folder)
+    written = spark.read.schema(df.schema).parquet(folder).select(PART).distinct().collect()
+    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {_name(table)}").collect()}
+    parts = [f"{PART}={row[0]}" for row in written]
+    added = [f"PARTITION ({part}) LOCATION '{folder}/{part}'" for part in parts if part not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {_name(table)} ADD {' '.join(added)}")
+    for part in parts:
+        if part in known:
+            spark.sql(f"ALTER TABLE {_name(table)} PARTITION ({part}) SET LOCATION '{folder}/{part}'")
+    spark.catalog.refreshTable(table)
+    for part in parts:
+        if part in known:
+            _retire(spark, f"{root}/*/{part}")
+
+
+def _stamp() -> str:
+    """A fresh folder name; names sort by time."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
-def _overwrite_parts(spark: SparkSession, df: DataFrame, table: str) -> None:
-    with _dynamic_overwrite(spark):
-        df.write.mode("overwrite").insertInto(table)
+def _retire(spark: SparkSession, pattern: str) -> None:
+    """Remove all but the newest ``KEPT_VERSIONS`` of the folders that match."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted(status.getPath().toString() for status in files.globStatus(path) or [])
+    for old in found[:-KEPT_VERSIONS]:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)

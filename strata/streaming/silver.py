@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.storagelevel import StorageLevel
 
 from strata.functions.audit import with_audit
 from strata.operators import payload, quality
-from strata.sources import tables
+from strata.sources import history_tables, tables
 from strata.sources.files import structured_files, with_lineage
 from strata.streaming.bronze import run_to_end
 
@@ -44,6 +44,10 @@ class SilverTable:
     rescue_fields: bool = False
     # The column whose greatest valid value the metrics report as the latest event.
     event_time: str = "ingested_at"
+    # Columns that the table's files hold ranges of.
+    cluster_by: Sequence[str] = ()
+    # Keep a type-2 history of the valid rows instead: ``keys``, ``tracked`` and ``order_by`` columns.
+    history: Mapping[str, Sequence[str]] | None = None
     # A table for the counts per rule of each batch.
     metrics: str | None = None
 
@@ -83,11 +87,13 @@ def store_batch(rows: DataFrame, batch_id: int, spec: SilverTable) -> dict[str,
         valid, _ = quality.split(tagged)
         # Few rows out of many tasks: gathered into few files.
         tables.append_batch(spark, quality.quarantine(tagged), spec.quarantine, batch_id, spec.name, rebalance=True)
-        if spec.merge_key:
+        if spec.history:
+            history_tables.merge(spark, valid, spec.target, buckets=spec.buckets, **spec.history)
+        elif spec.merge_key:
             tables.upsert(spark, valid, spec.target, spec.merge_key, batch_id, spec.order_by, spec.buckets,
-                          spec.name)
+                          spec.name, spec.cluster_by)
         else:
-            tables.append_batch(spark, valid, spec.target, batch_id, spec.name)
+            tables.append_batch(spark, valid, spec.target, batch_id, spec.name, cluster_by=spec.cluster_by)
         if spec.metrics:
             per_rule = quality.metrics(tagged, spec.rules, spec.event_time)
             tables.append_batch(spark, per_rule.select(

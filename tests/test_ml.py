@@ -108,3 +108,15 @@ def test_auc_of_one_class_is_null(spark):
     df = spark.createDataFrame([(1, 0.5)], "label INT, score DOUBLE")
     assert churn.auc(df, "label", "score").first().auc is None
     assert churn.auc(df.filter("false"), "label", "score").first().auc is None
+
+
+def test_close_scores_spread_over_the_buckets(spark):
+    # All scores between 5 and 5.001, a third of the rows with one of them.
+    df = spark.range(3000).select(
+        F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("label"),
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(5 + F.col("id") / 3_000_000).alias("score"))
+    rated = churn.auc(df, "label", "score", buckets=16)
+    pairs = [tuple(r) for r in df.collect()]
+    up, down = [s for y, s in pairs if y], [s for y, s in pairs if not y]
+    wins = sum((a > b) + (a == b) / 2 for a in up for b in down)
+    assert abs(rated.first().auc - wins / len(up) / len(down)) < 1e-9
