@@ -5,8 +5,8 @@ length form a table set: a shift table by the hash of a word pair says how far t
 buckets by the hash of their last pair, and a candidate counts only if its words agree. A batch of documents is cut
 into lanes that overlap by a window less one word; all lanes advance together in vectorised steps, each by its own jump.
 
-The test strings are a stated query set: they are read in blocks of at most ``BLOCK_WINDOWS`` windows (some tens of MB,
-whatever the size of the benchmark), each block is broadcast, and one map over the documents per block adds its hits to
+The test strings are a stated query set: they are read in blocks of at most ``BLOCK_WINDOWS`` windows and item ids (some
+tens of MB, whatever the size of the benchmark and however many items share a window), each block is broadcast, and one map over the documents per block adds its hits to
 the row. Nothing is shuffled.
 
 Edge cases: null and empty texts have no words; an item without words has no window; items with equal windows are all
@@ -28,6 +28,7 @@ from strata.llm.text import Hasher, Slice, slices
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
+CANDIDATES = 1 << 21  # candidate occurrences that are compared at once
 LANE = 256
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -100,6 +101,11 @@ class Windows:
         there &= docs[ends] == docs[ends - m + 1]
         ends, slot = ends[there], slot[there]
         n = self.count[slot]
+        if len(ends) > 1 and n.sum() > CANDIDATES:
+            half = len(ends) // 2
+            parts = [self._confirmed(words, docs, ends[at], hashes[there][at])
+                     for at in (slice(0, half), slice(half, None))]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         ends = np.repeat(ends, n)
         within = np.arange(len(ends)) - np.repeat(np.cumsum(n) - n, n)
         window = self.order[np.repeat(self.first[slot], n) + within]
@@ -153,7 +159,7 @@ def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", w
            block_windows: int = BLOCK_WINDOWS) -> Iterator[Block]:
     """The test strings, a bounded block at a time; at least one block, which may be empty."""
     rows: dict[tuple[bytes, ...], list[str]] = {}
-    made = 0
+    made = held = 0
     for row in benchmark.select(F.coalesce(col(item_id).cast("string"), F.lit("null")).alias("i"),
                                 col(text).alias("t")).toLocalIterator():
         part = next(slices(pa.array([row.t], pa.string())))
@@ -164,9 +170,10 @@ def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", w
             items = rows.setdefault(tuple(words[k:k + n]), [])
             if row.i not in items[-1:]:
                 items.append(row.i)
-            if len(rows) >= block_windows:
+                held += 1
+            if held >= block_windows:
                 yield Block(rows)
-                rows, made = {}, made + 1
+                rows, made, held = {}, made + 1, 0
     if rows or not made:
         yield Block(rows)
 

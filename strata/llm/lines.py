@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import stored
-from strata.llm.frames import col
+from strata.llm.frames import col, unused
 
 MIN_SITES = 10
 LG_K = 12
@@ -61,17 +61,19 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", text: str = "text"
     Without ``counts`` only the columns of ``docs`` return.
     """
     lines = stored(line_table(docs, site, text), "lines")
+    # Names that no column of the documents has.
+    of, key, boiler = (unused(docs, n) for n in ("_text", "_key", "_gone"))
     gone = lines.join(spread(lines, min_sites, lg_k).select("line"), "line").groupBy(
-        F.col("text").alias("_key")).agg(F.collect_set("line").alias("_gone"))
-    found = docs.withColumn("_text", F.xxhash64(col(text))).join(gone, F.col("_text") == F.col("_key"), "left")
+        F.col("text").alias(key)).agg(F.collect_set("line").alias(boiler))
+    found = docs.withColumn(of, F.xxhash64(col(text))).join(gone, F.col(of) == F.col(key), "left")
     split = _lines(col(text))
-    left = F.filter(split, lambda x: ~F.array_contains("_gone", F.xxhash64(x)) | ~_worded(x))
+    left = F.filter(split, lambda x: ~F.array_contains(boiler, F.xxhash64(x)) | ~_worded(x))
     size = lambda x: F.coalesce(F.when(col(text).isNotNull(), F.size(x)), F.lit(0)).cast("long")
-    cut = F.when(F.col("_gone").isNull(), col(text)).otherwise(F.array_join(left, "\n"))
+    cut = F.when(F.col(boiler).isNull(), col(text)).otherwise(F.array_join(left, "\n"))
     own = [cut.alias(c) if c == text else col(c) for c in docs.columns if not counts or c not in ("n_lines", "n_removed")]
     if not counts:
         return found.select(*own)
-    removed = F.when(F.col("_gone").isNull(), F.lit(0).cast("long")).otherwise(size(split) - size(left))
+    removed = F.when(F.col(boiler).isNull(), F.lit(0).cast("long")).otherwise(size(split) - size(left))
     return found.select(*own, size(split).alias("n_lines"), removed.alias("n_removed"))
 
 

@@ -243,12 +243,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     Groups are settled on ids, fingerprints and row hashes alone. Texts are moved once, to pick the rows to keep; rows
     that agree in every column are one.
     """
-    row = F.xxhash64(*map(col, docs.columns))
-    marked = fingerprints(docs.withColumn("_row", row), text, "_fp", shingle)
-    marked = stored(marked.select(col(doc_id).alias("id"), "_fp", "_row"), "fingerprints")
-    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "_row"))
-    nodes = stored(marked.groupBy(F.col("_fp").alias("fp")).agg(first.alias("first")), "nodes")
+    # A row is known by its id and hash; the names are such that no column of the documents has.
+    hashed = unused(docs, "_row")
+    rows = docs.withColumn(hashed, F.xxhash64(*map(col, docs.columns)))
+    marked = fingerprints(rows.select(col(doc_id).alias("id"), col(text).alias("text"), F.col(hashed).alias("row")),
+                          output="fp", shingle=shingle)
+    marked = stored(marked.select("id", "fp", "row"), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))
+    nodes = stored(marked.groupBy("fp").agg(first.alias("first")), "nodes")
     kept = roots(nodes, distance).groupBy("root").agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first._row").alias("_row")).distinct()
-    return docs.withColumn("_row", row).join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(
-        *map(col, docs.columns))
+    names = [unused(docs, n) for n in ("_kept_id", "_kept_row")]
+    kept = kept.select("first.id", "first.row").toDF(*names)
+    same = (F.col(hashed) == F.col(names[1])) & col(doc_id).eqNullSafe(F.col(names[0]))
+    return rows.join(kept, same, "left_semi").dropDuplicates([doc_id, hashed]).select(*map(col, docs.columns))

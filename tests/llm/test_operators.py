@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,31 @@ def test_simhash(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected))
 
 
+def test_inner_names_may_clash(spark):
+    names = ("_text", "_key", "_gone", "_row", "_fp", "_kept_id", "_kept_row", "line", "fp", "root", "id", "n_words", "row")
+    docs = made(spark, odd_texts()).withColumns({n: F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")) for n in names})
+    bench = spark.createDataFrame([(1, "absent words here")], "item_id LONG, text STRING")
+    own = {i: v for i, v in by_id(docs, *names).items()}
+    for df in (lines.remove_boilerplate(docs, counts=False), simhash.keep_one(docs), simhash.near_duplicates(docs),
+               decontam.clean(docs, bench), toxicity.filter_toxic(docs, toxicity.fit(docs.filter("false").withColumn(
+                   "toxic", F.lit(1))))):
+        found = by_id(df, *names)
+        assert found == {i: own[i] for i in found}
+    assert len(by_id(simhash.keep_one(docs), "row")) == len(by_id(simhash.keep_one(made(spark, odd_texts())), "kept"))
+
+
+def test_candidates_are_compared_in_bounded_numbers(spark, monkeypatch):
+    texts = odd_texts()
+    words = " ".join(w for w in texts[5].split()[:400])
+    bench = spark.createDataFrame([(i, words) for i in range(5)], "item_id LONG, text STRING")
+    blocks = list(decontam.blocks(bench))
+    whole = [b.occurrences(next(decontam.slices(pa.array([texts[5]])))) for b in blocks]
+    monkeypatch.setattr(decontam, "CANDIDATES", 3)
+    again = [b.occurrences(next(decontam.slices(pa.array([texts[5]])))) for b in blocks]
+    ordered = lambda found: sorted((s, e, tuple(i)) for s, e, i in found[1][0])
+    assert ordered(whole[0]) == ordered(again[0]) and len(whole[0][1][0]) >= 300
+
+
 def test_mixing(spark):
     texts = [None, "", *(" ".join(["w"] * (k % 37 + 1)) for k in range(300))]
     docs = made(spark, texts).withColumn("source", F.when(F.col("doc_id") % 3 > 0, F.col("source")))
