@@ -40,14 +40,17 @@ def with_columns(docs: DataFrame, added: list[T.StructField], compute: Callable[
     names = {f.name.lower() for f in added}
     rest = [c for c in docs.columns if c.lower() not in names]
     kinds = [ARROW[f.dataType.simpleString()] for f in added]
+    # A text that passes through goes to Python once.
+    sent = rest.index(text) if text in rest else len(rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [a if isinstance(a, pa.Array) else pa.array(a, k)
-                     for a, k in zip(compute(batch.column(len(rest))), kinds, strict=True)]
+                     for a, k in zip(compute(batch.column(sent)), kinds, strict=True)]
             fields = [batch.schema.field(i) for i in range(len(rest))]
             fields += [pa.field(f.name, k) for f, k in zip(added, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(rest)], *found], schema=pa.schema(fields))
 
     schema = T.StructType([*(docs.schema[c] for c in rest), *added])
-    return docs.select(*map(col, rest), col(text).alias(unused(docs, "_text"))).mapInArrow(run, schema)
+    own = [] if text in rest else [col(text).alias(unused(docs, "_text"))]
+    return docs.select(*map(col, rest), *own).mapInArrow(run, schema)
