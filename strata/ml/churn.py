@@ -8,7 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import Bucketizer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Bucketizer, OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler)
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -19,8 +20,8 @@ from strata.sources import tables
 
 NUMERIC = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType)
 LABEL, ID = "is_churned", "customer_id"
-# Beyond this many values a text column is an identifier, not a category (its values all pass through the driver
-# and each becomes a vector slot).
+# Values of a text column that get a vector slot of their own, by default: the most frequent ones. All rarer values
+# share the slot of unseen values.
 MAX_CATEGORIES = 1000
 
 
@@ -31,14 +32,17 @@ def feature_columns(df: DataFrame, label: str = LABEL, ids: Sequence[str] = (ID,
             [f.name for f in fields if isinstance(f.dataType, StringType)])
 
 
-def check_categories(df: DataFrame, categorical: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """Refuse text columns with too many values, in one approximate pass."""
-    if not categorical:
-        return
-    found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-    wide = {c: found[c] for c in categorical if found[c] > limit}
-    if wide:
-        raise ValueError(f"too many categories (limit {limit}); pass these as ids: {wide}")
+def frequent_categories(df: DataFrame, columns: Sequence[str], most: int = MAX_CATEGORIES) -> StringIndexerModel:
+    """The index of :func:`index_categories` over each column's ``most`` most frequent values.
+
+    Values are counted in the cluster and only those that get an index come to the driver, so identifiers and other
+    columns of any number of values can be trained on.
+    """
+    labels = []
+    for c in columns:
+        counts = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("value")).count()
+        labels.append([r["value"] for r in counts.orderBy(F.desc("count"), "value").limit(most).collect()])
+    return StringIndexerModel.from_arrays_of_labels(labels, list(columns), [f"{c}_index" for c in columns], "keep")
 
 
 def index_categories(columns: Sequence[str]) -> StringIndexer:
@@ -97,16 +101,18 @@ def train(df: DataFrame, label: str = LABEL, key: str = ID, trees: int = 10, see
           drop_last: bool = False, max_categories: int = MAX_CATEGORIES) -> Trained:
     """Fit index, one-hot, assemble, scale and random forest on the training rows; score and rate the test rows.
 
-    ``max_categories``: the most values that a text column may have (each becomes a vector slot).
+    ``max_categories``: how many values of a text column get a vector slot of their own (:func:`frequent_categories`).
     """
     numeric, categorical = feature_columns(df, label, (key,))
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, seed=seed)
     # The fit passes over the rows many times, and rating them once more.
     rows = prepared(df, numeric).filter(F.col(label).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        check_categories(rows, categorical, max_categories)
         fit_rows, test_rows = split(rows, key, tenths)
-        model = Pipeline(stages=[*feature_pipeline(numeric, categorical, drop_last), forest]).fit(fit_rows)
+        stages = feature_pipeline(numeric, categorical, drop_last)
+        if categorical:
+            stages[0] = frequent_categories(fit_rows, categorical, max_categories)
+        model = Pipeline(stages=[*stages, forest]).fit(fit_rows)
         scored = score(model, test_rows)
         result = auc(scored.select(label, churn_probability().alias("p")), label, "p").first()
         return Trained(model, scored, result["auc"], fit_rows.count(), result["positives"] + result["negatives"],

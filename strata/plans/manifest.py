@@ -19,6 +19,12 @@ files, not executor caches), ``cluster_by`` (columns that the files of a silver
 table's ``sort_by`` is then left to its readers), ``history`` (of a silver entry: ``keys``, ``tracked`` and ``order_by``
 of a type-2 history that takes the place of the rows), ``interleave`` and ``external_location`` (layout and place of a
 gold table).
+
+An entry of type ``view`` publishes its source table as a catalog view: either ``report: monthly_revenue``, or the rows
+as each reader may see them::
+
+    {name: shown, type: view, source_table: silver.contacts, target_table: gold.contacts, memberships: ops.members,
+     masks: {customer_email: email, phone_number: partial_id}, row_filter: region}
 """
 
 from __future__ import annotations
@@ -30,7 +36,9 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.functions import governance
 from strata.operators import gold
+from strata.plans import reports as standard
 from strata.plans.audit import layer_report
 from strata.sources import history_tables, tables
 from strata.sources.files import TYPED_FORMATS, WHOLE_FILE_BYTES
@@ -38,6 +46,8 @@ from strata.streaming import bronze, silver
 
 # Which duplicate of a merge key wins when the entry does not say: the latest of these, as far as present.
 DEFAULT_ORDER = ("tx_time", "ingested_at")
+# Standard reports that a view entry can publish.
+REPORTS = {"monthly_revenue": standard.publish_monthly_revenue}
 
 
 def load(source: str | Mapping[str, Any]) -> Mapping[str, Any]:
@@ -66,7 +76,7 @@ def run(spark: SparkSession, manifest: str | Mapping[str, Any], base_path: str |
         if settings.get("catalog"):
             spark.catalog.setCurrentCatalog(settings["catalog"])
     context = _Context(spark, spec, base.rstrip("/"), run_mode, user, timeout)
-    steps = {"bronze": context.bronze, "silver": context.silver, "gold": context.gold}
+    steps = {"bronze": context.bronze, "silver": context.silver, "gold": context.gold, "view": context.view}
     reports = {}
     for entry in spec["tables"]:
         if entry["type"] not in steps:
@@ -76,13 +86,16 @@ def run(spark: SparkSession, manifest: str | Mapping[str, Any], base_path: str |
 
 
 def report(spark: SparkSession, manifest: str | Mapping[str, Any]) -> DataFrame:
-    """Row counts of every table of a manifest, quarantine included."""
-    return layer_report(spark, [(t["type"], t["target_table"]) for t in load(manifest)["tables"]])
+    """Row counts of every table of a manifest, quarantine included; views hold no rows of their own."""
+    return layer_report(spark, [(t["type"], t["target_table"]) for t in load(manifest)["tables"] if t["type"] != "view"])
 
 
 def drop_targets(spark: SparkSession, manifest: str | Mapping[str, Any]) -> None:
-    """Drop every table of a manifest, quarantine included. Files of external tables and checkpoints stay."""
+    """Drop every table and view of a manifest, quarantine included. Files of external tables and checkpoints stay."""
     for entry in load(manifest)["tables"]:
+        if entry["type"] == "view":
+            tables.drop_view(spark, entry["target_table"])
+            continue
         tables.drop(spark, entry["target_table"])
         tables.drop(spark, f"{entry['target_table']}_quarantine")
         if entry.get("history"):
@@ -170,3 +183,16 @@ class _Context:
                        cluster_by=entry.get("cluster_by", ()), sort_by=entry.get("sort_by", ()),
                        location=self.path(location) if location else None,
                        interleave=entry.get("interleave", False))
+
+    def view(self, entry):
+        if self.skipped(entry):
+            return None
+        source, target = entry["source_table"], entry["target_table"]
+        tables.ensure_schema(self.spark, target)
+        if entry.get("report"):
+            if entry["report"] not in REPORTS:
+                raise ValueError(f"view {entry['name']!r}: unknown report {entry['report']!r}")
+            REPORTS[entry["report"]](self.spark, source, target)
+        else:
+            governance.publish_view(self.spark, source, target, entry["memberships"], entry.get("masks", {}),
+                                    entry.get("row_filter"), hidden=[tables.PART])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators import gold
@@ -52,3 +52,21 @@ def create_monthly_revenue_view(transactions: DataFrame, name: str = "v_monthly_
     """Publish the report as a view of the session; it is computed from current data at each use."""
     monthly_revenue(transactions).createOrReplaceTempView(name)
     return transactions.sparkSession.table(name)
+
+
+def publish_monthly_revenue(spark: SparkSession, source: str, view: str) -> None:
+    """The report over a catalog table as a catalog view: it outlives the session, and any SQL client can read it."""
+    kind = spark.table(source).schema["tx_time"].dataType.simpleString()
+    named = [".".join(f"`{part}`" for part in table.split(".")) for table in (view, source)]
+    spark.sql(f"""
+        CREATE OR REPLACE VIEW {named[0]} AS
+        WITH months AS (
+            SELECT region, CAST(date_trunc('month', tx_time) AS {kind}) AS report_month,
+                   sum(amount) AS total_revenue, count(tx_id) AS transaction_count
+            FROM {named[1]} GROUP BY ALL),
+        paired AS (
+            SELECT *, lag(total_revenue) OVER (PARTITION BY region ORDER BY report_month) AS prev_month_revenue
+            FROM months)
+        SELECT *, try_divide(CAST(total_revenue - prev_month_revenue AS DOUBLE),
+                             CAST(prev_month_revenue AS DOUBLE)) * 100 AS mom_growth_pct
+        FROM paired""")

@@ -53,6 +53,10 @@ def drop(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_name(table)}")
 
 
+def drop_view(spark: SparkSession, view: str) -> None:
+    spark.sql(f"DROP VIEW IF EXISTS {_name(view)}")
+
+
 def evolve(spark: SparkSession, schema: StructType, table: str) -> StructType:
     """Add the columns that a table lacks (a catalog change only: no file is rewritten); returns the table's schema."""
     spark.catalog.refreshTable(table)

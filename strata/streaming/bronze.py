@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,22 +22,29 @@ def run_to_end(query: StreamingQuery, timeout: int | None = None) -> None:
 
 
 def append_stream(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str,
-                  timeout: int | None = None) -> None:
+                  timeout: int | None = None, partition_by: Sequence[str] = ()) -> None:
     """Append a stream to a table, exactly once. The table belongs to this stream: its file log is what readers
-    trust, so no batch job may append to it. Columns that are new to the table are added to it."""
+    trust, so no batch job may append to it. Columns that are new to the table are added to it. A table keeps the
+    partitioning it was created with."""
     tables.ensure_schema(spark, target)
     if tables.exists(spark, target):
         tables.evolve(spark, stream.schema, target)
+        partition_by = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     run_to_end(writer.toTable(target), timeout)
 
 
 def ingest_raw(spark: SparkSession, source: str, target: str, checkpoint: str, run_id: str,
                run_mode: str = "local", user: str | None = None, max_bytes: int = WHOLE_FILE_BYTES,
                batch_bytes: int | None = None, timeout: int | None = None) -> None:
-    """Append every file below ``source`` that no earlier run has read (``raw_files`` rows, lineage, audit)."""
+    """Append every file below ``source`` that no earlier run has read (``raw_files`` rows, lineage, audit).
+
+    The table is partitioned by file format, so that a reader of one format opens no payload of another.
+    """
     rows = with_lineage(raw_files(spark, source, True, max_bytes, batch_bytes))
-    append_stream(spark, with_audit(rows, run_id, run_mode, user), target, checkpoint, timeout)
+    append_stream(spark, with_audit(rows, run_id, run_mode, user), target, checkpoint, timeout, ["file_format"])
 
 
 def ingest_typed(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, run_id: str,

@@ -123,7 +123,8 @@ def from_bronze(spark: SparkSession, source_table: str, spec: SilverTable, check
     reader = spark.readStream
     if spec.batch_bytes:
         reader = reader.option("maxBytesPerTrigger", str(spec.batch_bytes))
-    _run(reader.table(source_table), batch, checkpoint, timeout)
+    # Filtered on the stream: a batch function gets rows that are already read, too late to skip files by format.
+    _run(payload.of_format(reader.table(source_table), spec.file_format), batch, checkpoint, timeout)
     return done
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.functions import governance as g
+from strata.queries.inputs import scratch_schema
 
 VALUES = ["ann@mail.example.com", "a@b@c.org", "no address", "abc", None, ""]
 
@@ -60,3 +61,29 @@ def test_filter_reaches_the_scan(spark, regional, folder):
     regional.write.parquet(f"{folder}/r")
     plan = g.row_filter(spark.read.parquet(f"{folder}/r"), "region", ["region_x"])._jdf.queryExecution().toString()
     assert "DataFilters: [isnotnull(region" in plan and "lower(region" in plan
+
+
+def test_a_governed_view_shows_each_user_what_their_groups_allow(spark):
+    schema = scratch_schema(spark, "views")
+    spark.createDataFrame([(1, "ann@x.org", "12345", "Auckland"), (2, "none", None, "Wellington"), (3, None, "9", None)],
+                          "i INT, email STRING, phone STRING, region STRING").write.saveAsTable(f"{schema}.people")
+    members = f"{schema}.members"
+    spark.sql(f"CREATE TABLE {members} (user STRING, `group` STRING) USING parquet")
+    g.publish_view(spark, f"{schema}.people", f"{schema}.shown", members, {"email": "email", "phone": "partial_id"}, "region")
+
+    def seen():
+        return sorted(tuple(r) for r in spark.sql(f"SELECT * FROM {schema}.shown").collect())
+
+    assert seen() == []
+    spark.sql(f"INSERT INTO {members} SELECT current_user(), 'region_auckland'")
+    spark.sql(f"INSERT INTO {members} VALUES ('someone else', 'admin'), ('someone else', 'data_stewards')")
+    assert seen() == [(1, "masked-user@x.org", "XXXX-2345", "Auckland")]
+    spark.sql(f"INSERT INTO {members} SELECT current_user(), 'admin'")
+    assert seen() == [(1, "masked-user@x.org", "XXXX-2345", "Auckland"), (2, g.REDACTED, None, "Wellington"),
+                      (3, None, "XXXX-9", None)]
+    spark.sql(f"INSERT INTO {members} SELECT current_user(), 'data_stewards'")
+    assert seen()[0] == (1, "ann@x.org", "12345", "Auckland")
+    with pytest.raises(ValueError, match="no columns"):
+        g.publish_view(spark, f"{schema}.people", f"{schema}.shown", members, {"mail": "email"})
+    with pytest.raises(ValueError, match="unknown mask"):
+        g.publish_view(spark, f"{schema}.people", f"{schema}.shown", members, {"email": "hash"})

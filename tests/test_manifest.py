@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from strata.plans import manifest
+from strata.plans import manifest, reports
 from strata.plans.audit import layer_report, sample_rows, source_files
 from strata.queries.inputs import scratch_schema
 from strata.queries.runs import churn_manifest, sales_manifest
@@ -70,3 +70,29 @@ def test_quality_metrics_are_collected_and_targets_dropped(spark, folder):
     assert all(r.table == f"{schema}.s" and r.latest_event is not None and r.total_rows == 3 for r in rows)
     manifest.drop_targets(spark, spec)
     assert not any(tables.exists(spark, f"{schema}.{t}") for t in ("raw", "s", "s_quarantine"))
+
+
+def test_views_of_a_manifest(spark, folder):
+    schema = scratch_schema(spark, "views")
+    spark.sql(f"""CREATE TABLE {schema}.tx USING parquet AS SELECT * FROM VALUES
+        ('N', 1.0D, 'a', TIMESTAMP '2024-01-05 00:00:00'), ('N', 3.0D, 'b', TIMESTAMP '2024-02-05 00:00:00'),
+        ('S', 5.0D, 'c', TIMESTAMP '2024-02-05 00:00:00') AS t(region, amount, tx_id, tx_time)""")
+    spark.sql(f"""CREATE TABLE {schema}.members USING parquet AS
+        SELECT current_user() AS user, 'region_n' AS `group`""")
+    view = {"type": "view", "source_table": f"{schema}.tx"}
+    spec = {"settings": {"local_base_path": folder}, "tables": [
+        {**view, "name": "m", "target_table": f"{schema}.monthly", "report": "monthly_revenue"},
+        {**view, "name": "s", "target_table": f"{schema}.shown", "memberships": f"{schema}.members",
+         "masks": {"tx_id": "redact"}, "row_filter": "region"}]}
+    manifest.run(spark, spec, folder)
+    want = reports.monthly_revenue(spark.table(f"{schema}.tx"))
+    found = spark.table(f"{schema}.monthly")
+    assert found.dtypes == want.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    assert [tuple(r)[:3] for r in spark.table(f"{schema}.shown").orderBy("amount").collect()] == [
+        ("N", 1.0, "### REDACTED ###"), ("N", 3.0, "### REDACTED ###")]
+    assert manifest.report(spark, spec).count() == 0
+    with pytest.raises(ValueError, match="unknown report"):
+        manifest.run(spark, {"tables": [{**spec["tables"][0], "report": "daily"}]}, folder)
+    manifest.drop_targets(spark, spec)
+    assert not tables.exists(spark, f"{schema}.shown") and tables.exists(spark, f"{schema}.tx")

@@ -35,10 +35,20 @@ def test_columns_are_typed_without_label_and_ids(features):
         ["tenure_months", "support_tickets", "total_lifetime_spend", "avg_tx_value", "frequency_score"], ["tier"])
 
 
-def test_identifiers_are_refused_as_categories(spark):
-    df = spark.range(3000).select(F.col("id").cast("string").alias("name"))
-    with pytest.raises(ValueError, match="name"):
-        churn.check_categories(df, ["name"])
+def test_rare_categories_share_the_slot_of_unseen_ones(spark):
+    df = spark.range(3000).select(F.when(F.col("id") < 1000, "b").when(F.col("id") < 1900, "a").otherwise(
+        F.col("id").cast("string")).alias("name"))
+    index = churn.frequent_categories(df, ["name"], most=3)
+    assert index.labels == ["b", "a", "1900"]
+    found = {r.name: r.name_index for r in index.transform(df.unionByName(df.limit(1).selectExpr("'z' AS name"))).collect()}
+    assert found["b"] == 0 and found["a"] == 1 and found["1900"] == 2
+    assert {v for k, v in found.items() if k not in ("a", "b", "1900")} == {3.0}
+
+
+def test_all_categories_index_as_the_plain_indexer_does(spark, features):
+    with_null = features.unionByName(features.limit(2).withColumn("tier", F.lit(None).cast("string")))
+    plain = churn.index_categories(["tier"]).fit(with_null)
+    assert churn.frequent_categories(with_null, ["tier"]).labels == plain.labels
 
 
 def test_unseen_categories_have_a_bucket_or_a_zero_vector(spark):

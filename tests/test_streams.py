@@ -3,7 +3,9 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from strata.operators import payload
 from strata.queries.inputs import scratch_schema
 from strata.sources import tables
 from strata.streaming import bronze, silver
@@ -134,3 +136,21 @@ def test_a_stream_that_takes_too_long_is_stopped(spark, folder):
     with pytest.raises(TimeoutError):
         bronze.ingest_raw(spark, f"{folder}/landing", f"{scratch_schema(spark, 'slow')}.raw", f"{folder}/ck", "raw",
                           timeout=0.001)
+
+
+def test_a_reader_of_one_format_opens_no_payload_of_another(spark, folder):
+    job = Job(spark, folder, scratch_schema(spark, "parted"), file_format="json")
+    land(folder, "a.json", '{"tx_id":"a","amount":1}\n')
+    land(folder, "b.csv", "tx_id,amount\nx,5\n")
+    land(folder, "no_extension", "text")
+    assert job.run() == [{"valid_rows": 1, "quarantined_rows": 0}]
+    raw = spark.table(job.raw)
+    assert raw.count() == 3
+    files = raw.select("file_format", F.input_file_name().alias("f")).collect()
+    assert all(f"file_format={r.file_format}/" in r.f for r in files if r.file_format)
+    scan = payload.of_format(raw, "json")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(file_format" in scan
+    land(folder, "c.json", '{"tx_id":"c","amount":2}\n')
+    land(folder, "d.csv", "tx_id,amount\ny,5\n")
+    assert job.run() == [{"valid_rows": 1, "quarantined_rows": 0}]
+    assert job.good() == [("a", 1.0), ("c", 2.0)] and spark.table(job.raw).count() == 5
