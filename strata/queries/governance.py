@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions import governance
-from strata.queries.inputs import TRANSACTIONS, as_double, table, transactions
+from strata.queries.inputs import TRANSACTIONS, as_double, scratch_schema, table, transactions
 from strata.queries.quality import CONTACTS, _contacts
 
 READER = ("region_asia", "region_europe")
@@ -51,6 +51,16 @@ def _row_filter_table(spark, folder):
     return governance.row_filter_by_table(rows, "region", entitled, "analyst")
 
 
+def _governed_view(spark, folder):
+    schema = scratch_schema(spark, "governed")
+    as_double(transactions(spark, folder), "amount").write.saveAsTable(f"{schema}.tx")
+    groups = spark.range(1).select(F.current_user().alias("user"), F.explode(F.array(*map(F.lit, READER))).alias("group"))
+    groups.write.saveAsTable(f"{schema}.members")
+    governance.publish_view(spark, f"{schema}.tx", f"{schema}.shown", f"{schema}.members", {"customer_id": "partial_id"},
+                            "region")
+    return spark.table(f"{schema}.shown")
+
+
 def _sql_functions(spark, folder):
     governance.register_sql(spark, READER)
     contacts = _contacts(spark, folder).join(
@@ -83,5 +93,9 @@ QUERIES = {
         WHERE region IN ('ASIA', 'EUROPE')"""),
     "row_filter_table": (_row_filter_table, f"""
         SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM ({TRANSACTIONS}) WHERE region LIKE 'A%'"""),
+    "governed_view": (_governed_view, f"""
+        SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount,
+                          'XXXX-' || right(CAST(customer_id AS VARCHAR), 4) AS customer_id)
+        FROM ({TRANSACTIONS}) WHERE region IN ('ASIA', 'EUROPE')"""),
     "governance_sql": (_sql_functions, SQL_FUNCTIONS_SQL),
 }
