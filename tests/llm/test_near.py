@@ -1,0 +1,70 @@
+"""Near copies against the exact similarity of all pairs."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from strata.llm import near, simhash
+
+SCHEMA = "doc_id LONG, text STRING, source STRING"
+
+
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[k:k + 5]) for k in range(max(1, len(words) - 4))}
+
+
+def groups(texts):
+    """Least row number of each text's group."""
+    sets, of = [shingle_set(t) for t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) and of[i] != of[j]:
+                low, high = sorted((of[i], of[j]))
+                of = [low if x == high else x for x in of]
+    return of
+
+
+def texts():
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(900)]
+    found = [None, "", " \n", "one two", "ONE  two", "one two three"]
+    for k in range(25):
+        base = rng.choices(words, k=rng.choice((8, 60, 200, 700)))
+        found.append(" ".join(base))
+        for _ in range(k % 5):
+            copy = list(base)
+            for _ in range(rng.randrange(1, 2 + len(base) // 40)):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            found.append(" ".join(copy))
+    chain = rng.choices(words, k=100)
+    for k in range(12):  # neighbours are similar, the ends share nothing
+        found.append(" ".join((chain + [f"c{j}" for j in range(96)])[8 * k:8 * k + 100]))
+    return found
+
+
+@pytest.mark.parametrize(("group", "block"), [(near.GROUP, near.BLOCK), (3, 150)])
+def test_keep_one_is_exact(spark, group, block):
+    made = texts()
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(made)], SCHEMA).repartition(3)
+    kept = near.keep_one(docs.union(docs), group=group, block=block)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(groups(made)))
+
+
+def test_stage_finds_copies_that_differ_in_many_bits(spark):
+    # Three of 200 words replaced: 181 of 211 shingles are shared, and the fingerprints differ in more than 3 bits.
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    copy = [f"new{k}" if k % 60 == 30 else w for k, w in enumerate(base)]
+    far = [f"new{k}" if k % 20 == 10 else w for k, w in enumerate(base)]
+    made = [" ".join(t) for t in (base, copy, far)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(made)], SCHEMA)
+    assert groups(made) == [0, 0, 2]
+    assert (simhash.fingerprint(made[0]) ^ simhash.fingerprint(made[1])).bit_count() > simhash.DISTANCE
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [0, 2]
+
+
+def test_empty(spark):
+    assert near.keep_one(spark.createDataFrame([], SCHEMA)).count() == 0
