@@ -6,8 +6,9 @@ what can belong to the span, checks it (part ranges, digit counts, check digits)
 matched against the whole text.
 
 Base kinds, leftmost and without overlap within a kind: ``email``, ``ip``, ``card``, ``phone``. The method adds
-``account`` (IBAN with valid check digits; a number after an identifier cue such as "ssn" or "passport"), ``secret``
-(what follows a password or token cue) and ``contact`` (an e-mail spelled with "(at)" or "[at]").
+``account`` (IBAN with valid check digits, with or without a cue; a number after an identifier cue such as "ssn" or
+"passport"; the user in ``scheme://user:password@host``), ``secret`` (what follows a password or token cue; the password
+of such a url) and ``contact`` (an e-mail spelled with "(at)" or "[at]"; a mailto address that is no plain e-mail).
 
 Spans are in code points, end exclusive. Edge cases: null and empty texts have no spans; equal rows get equal results;
 other columns pass through, an output column replaces one of the same name.
@@ -37,6 +38,17 @@ SECRET = LETTERS | DIGITS | frozenset("_-+/.=~!@#$%^&*")
 NUMBER_CUES = ("ssn", "passport", "iban", "account no", "account number", "tax id", "national id")
 SECRET_CUES = ("password", "passwd", "pwd", "api_key", "apikey", "api key", "secret", "token")
 AT_CUES = ("(at)", "[at]")
+SCHEME_CUES = ("://", "mailto:")
+URL_END = frozenset("/?#\\\"'<>`|{}^ \t\r\n\f\v\u00a0")
+MAIL_END = frozenset("?#&\"'<>() \t\r\n\f\v\u00a0")
+
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {country: length for length, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+IBAN_MOST = 34
 
 
 def automaton() -> ahocorasick.Automaton:
@@ -45,7 +57,8 @@ def automaton() -> ahocorasick.Automaton:
         found.add_word(d, "digit")
     found.add_word("@", "at")
     found.add_word("+", "plus")
-    for words, kind in ((NUMBER_CUES, "number"), (SECRET_CUES, "secret"), (AT_CUES, "spelled")):
+    for words, kind in ((NUMBER_CUES, "number"), (SECRET_CUES, "secret"), (AT_CUES, "spelled"),
+                        (SCHEME_CUES, "scheme")):
         for w in words:
             for form in {w, w.upper(), w.capitalize()}:
                 found.add_word(form, kind)
@@ -137,6 +150,8 @@ def number_after(text: str, end: int) -> tuple[int, int] | None:
     at = end
     while at < len(text) and at - end < 8 and (text[at] in " :=#." or text[at:at + 2].lower() == "no"):
         at += 2 if text[at:at + 2].lower() == "no" else 1
+    if end_of := iban_end(text, at):
+        return at, end_of
     to = at
     while to < len(text) and (text[to] in LETTERS or text[to] in DIGITS or (
             text[to] in " -" and to + 1 < len(text) and text[to + 1] in DIGITS)) and to - at < 40:
@@ -155,6 +170,60 @@ def iban(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
 
 
+def iban_end(text: str, start: int) -> int | None:
+    """End of the IBAN that begins at ``start``: at most 34 letters and digits, single spaces or hyphens between.
+
+    It ends where its country's length says, or for other countries at the last border where its check digits fit.
+    """
+    code, ends, at, n = [], [], start, len(text)
+    while at < n and len(code) < IBAN_MOST:
+        if text[at] in LETTERS or text[at] in DIGITS:
+            code.append(text[at])
+            at += 1
+            if at == n or not (text[at] in LETTERS or text[at] in DIGITS):
+                ends.append((len(code), at))
+        elif text[at] in " -" and code and at + 1 < n and (text[at + 1] in LETTERS or text[at + 1] in DIGITS):
+            at += 1
+        else:
+            break
+    length = IBAN_LENGTHS.get("".join(code[:2]).upper())
+    for size, end in reversed(ends):
+        if length in (None, size) and iban("".join(code[:size])):
+            return end
+    return None
+
+
+def login(text: str, start: int) -> tuple[tuple[int, int] | None, tuple[int, int] | None]:
+    """The user and the password in ``user:password@host`` that begins at ``start``, behind a scheme's ``://``."""
+    end, at = start, -1
+    while end < len(text) and text[end] not in URL_END:
+        if text[end] == "@":
+            at = end
+        end += 1
+    if at < 0 or at + 1 == end:
+        return None, None
+    colon = text.find(":", start, at)
+    user = (start, at if colon < 0 else colon)
+    secret = (colon + 1, at)
+    return user if user[0] < user[1] else None, secret if 0 <= colon < at - 1 else None
+
+
+def mailboxes(text: str, start: int) -> list[tuple[int, int]]:
+    """Addresses behind ``mailto:``, commas between, that are no plain e-mail (``name%40host``, ``name@host``)."""
+    end = start
+    while end < len(text) and text[end] not in MAIL_END:
+        end += 1
+    found = []
+    for part in text[start:end].split(","):
+        at = start + part.find("@")
+        plain = "@" in part and email(text, at, start)
+        name, mark, host = part.replace("%40", "@").partition("@")
+        if mark and name and host.strip(".") and not plain:
+            found.append((start, start + len(part.rstrip("."))))
+        start += len(part) + 1
+    return found
+
+
 def secret_after(text: str, end: int) -> tuple[int, int] | None:
     """A value of 8 or more characters with a digit that follows ``=`` or ``:`` and perhaps a quote."""
     at = end
@@ -200,6 +269,9 @@ def spans(text: str | None, cues: ahocorasick.Automaton) -> dict[str, list[tuple
                 elif good:
                     found["card"].append((last, past["card"]))
             if last >= in_digits:
+                if last >= past["account"] + 2 and _country(text, last) and (end := iban_end(text, last - 2)):
+                    found["account"].append((last - 2, end))
+                    past["account"] = end
                 in_digits = run_end(text, last, DIGITS)
                 if last >= past["ip"] and (hit := ip(text, last)):
                     past["ip"] = hit[0]
@@ -214,6 +286,15 @@ def spans(text: str | None, cues: ahocorasick.Automaton) -> dict[str, list[tuple
                 past["phone"] = hit[0]
                 if hit[1]:
                     found["phone"].append((last, hit[0]))
+        elif cue == "scheme":
+            if text[last] == "/":
+                hits = zip(("account", "secret"), login(text, last + 1), strict=True)
+            else:
+                hits = [("contact", hit) for hit in mailboxes(text, last + 1)]
+            for kind, hit in hits:
+                if hit and hit[1] > past[kind]:
+                    found[kind].append((max(hit[0], past[kind]), hit[1]))
+                    past[kind] = hit[1]
         else:
             kind = {"number": "account", "secret": "secret", "spelled": "contact"}[cue]
             hit = (number_after(text, last + 1) if cue == "number" else secret_after(text, last + 1)
@@ -224,6 +305,12 @@ def spans(text: str | None, cues: ahocorasick.Automaton) -> dict[str, list[tuple
     return found
 
 
+def _country(text: str, digit: int) -> bool:
+    """Whether two capitals that begin a word stand before the two digits at ``digit``."""
+    return (digit >= 2 and "A" <= text[digit - 1] <= "Z" and "A" <= text[digit - 2] <= "Z" and text[digit + 1:digit + 2] in DIGITS
+            and not (digit >= 3 and text[digit - 3].isalnum()))
+
+
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add ``spans`` (kind:start:end, by kind and start, comma-joined), a count per base kind and ``base_sha256``."""
     local: dict[str, ahocorasick.Automaton] = {}
