@@ -3,8 +3,10 @@
 1. Paths are cut into segments; segments that vary by form (numbers, hex, dates, words with digits) become ``*``.
 2. Level by level, per host and parent template, siblings are looked at together: many children of low support are
    variables and become ``*``; of the labelled children, those whose share of blocked urls does not differ from the
-   others' by a two-proportion test are merged into ``*``, and so are the unlabelled ones among themselves (as ``+``).
-3. A template is rejected if its share of blocked urls, smoothed towards the share of all labelled urls, is high.
+   others' by a two-proportion test are merged into ``*``. An unlabelled child joins them if it resembles the labelled
+   ones (segments below it, urls); the other unlabelled ones are merged among themselves (as ``+``).
+3. A template is rejected if its share of blocked urls is high, smoothed towards its parent's, and so on up to the host's
+   and the share of all labelled urls. So a branch without labels is judged by the nearest branches that have some.
 
 Urls are aggregated to forms before anything is compared, so hosts of any size cost one row per form. All steps are
 DataFrame aggregates and joins.
@@ -31,6 +33,8 @@ SUPPORT = 3.0    # mean urls per child below which they are variables
 Z = 1.96
 STRENGTH = 4.0   # weight of the prior, in urls
 REJECT = 0.8
+NEAR_DEPTH = 0.5   # mean segments by which an unlabelled child may differ from its labelled siblings
+NEAR_SUPPORT = 4.0  # times the mean urls of a labelled sibling, or this part of it
 
 
 @dataclass(frozen=True)
@@ -89,19 +93,31 @@ def templates(pages: DataFrame) -> DataFrame:
         tree = _level(tree, level)
     total = forms.agg(F.sum("b").alias("b"), F.sum("m").alias("m")).first()
     prior = ((total.b or 0) + 1) / ((total.m or 0) + 2)
-    sums = tree.groupBy("host", "template").agg(F.sum("n").alias("urls"), F.sum("b").alias("blocked"), F.sum("m").alias("m"))
-    sums = sums.withColumn("purity", (F.col("blocked") + STRENGTH * prior) / (F.col("m") + STRENGTH))
-    return tree.select("host", "form", "template").join(sums.select("host", "template", "urls", "purity"),
-                                                        ["host", "template"])
+    sums = stored(tree.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "m", "b"))), "sums")
+    # All beginnings of a template, the host's own (no segment) first; what lies beyond DEPTH is one segment.
+    parts = F.split("template", "/", -1)
+    steps = F.transform(F.sequence(F.lit(1), F.least(F.size(parts), F.lit(DEPTH + 1))), lambda k: F.when(
+        k == DEPTH + 1, F.col("template")).otherwise(F.array_join(F.slice(parts, F.lit(1), k), "/")))
+    chain = sums.select("host", "template", "m", "b", F.posexplode(steps).alias("step", "start"))
+    above = chain.groupBy("host", "step", "start").agg(F.sum("m").alias("all_m"), F.sum("b").alias("all_b"))
+    ladder = chain.select("host", "template", "step", "start").join(above, ["host", "step", "start"]).groupBy(
+        "host", "template").agg(F.sort_array(F.collect_list(F.struct("step", "all_m", "all_b"))).alias("ladder"))
+    purity = F.aggregate("ladder", F.lit(float(prior)), lambda p, x: (x.all_b + STRENGTH * p) / (x.all_m + STRENGTH))
+    judged = ladder.select("host", "template", purity.alias("purity")).join(
+        sums.select("host", "template", F.col("n").alias("urls")), ["host", "template"])
+    return tree.select("host", "form", "template").join(judged, ["host", "template"])
 
 
 def _level(tree: DataFrame, level: int) -> DataFrame:
     """Extend every template by its next segment, or by what that segment is merged into."""
     tree = tree.withColumn("child", F.when(F.size("form") > level, F.get("form", F.lit(level))))
     child = tree.filter("child IS NOT NULL").groupBy("host", "template", "child").agg(
-        *(F.sum(c).alias(c) for c in ("n", "m", "b")))
+        *(F.sum(c).alias(c) for c in ("n", "m", "b")), F.sum(F.col("n") * F.size("form")).alias("depth"))
+    labelled = F.col("m") > 0
     parent = child.groupBy("host", "template").agg(
-        F.count("*").alias("children"), *(F.sum(c).alias(f"all_{c}") for c in ("n", "m", "b")))
+        F.count("*").alias("children"), *(F.sum(c).alias(f"all_{c}") for c in ("n", "m", "b")),
+        *(F.sum(F.when(labelled, F.col(c))).alias(f"known_{c}") for c in ("n", "depth")),
+        F.count(F.when(labelled, 1)).alias("known"))
     both = child.join(parent, ["host", "template"])
     rest_m, rest_b = F.col("all_m") - F.col("m"), F.col("all_b") - F.col("b")
     share = F.try_divide
@@ -110,7 +126,12 @@ def _level(tree: DataFrame, level: int) -> DataFrame:
     apart = F.abs(share(F.col("b"), F.col("m")) - share(rest_b, rest_m))
     similar = (F.col("m") > 0) & (rest_m > 0) & (apart <= Z * spread)
     variable = (F.col("children") >= MANY) & (F.col("all_n") / F.col("children") < SUPPORT)
-    merged = F.when(variable | similar | (F.col("child") == "*"), F.lit("*")).when(
+    # An unlabelled child among labelled ones goes with them if as much lies below it, and as deep.
+    each = share(F.col("known_n"), F.col("known"))
+    alike = ((F.col("m") == 0) & (F.col("known") > 0)
+             & (F.abs(F.col("depth") / F.col("n") - share(F.col("known_depth"), F.col("known_n"))) <= NEAR_DEPTH)
+             & F.col("n").between(each / NEAR_SUPPORT, each * NEAR_SUPPORT))
+    merged = F.when(variable | similar | alike | (F.col("child") == "*"), F.lit("*")).when(
         (F.col("m") == 0) & (F.col("all_m") > 0), F.lit("+")).otherwise(F.col("child"))
     names = both.select("host", "template", "child", merged.alias("merged"))
     found = tree.join(names, ["host", "template", "child"], "left")
