@@ -32,12 +32,13 @@ def col(name: str) -> Column:
 
 
 def with_columns(docs: DataFrame, added: list[T.StructField], compute: Callable[[pa.Array], list[pa.Array]],
-                 text: str = "text") -> DataFrame:
+                 text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with columns computed from the text column of each Arrow batch.
 
-    Other columns pass through; an added column replaces one of the same name (ignoring case). No shuffle.
+    Other columns pass through; an added column replaces one of the same name (ignoring case). Without ``keep_text`` the
+    text does not come back from Python. No shuffle.
     """
-    names = {f.name.lower() for f in added}
+    names = {f.name.lower() for f in added} | (set() if keep_text else {text.lower()})
     rest = [c for c in docs.columns if c.lower() not in names]
     kinds = [ARROW[f.dataType.simpleString()] for f in added]
     # A text that passes through goes to Python once.

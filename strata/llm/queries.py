@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, html, lines, mixing, pii, quality, simhash, suffixes, toxicity, urls
+from strata.llm import (
+    decontam, html, lines, mixing, pii, quality, simhash, suffixes, tokens, toxicity, tries, urls, variants)
+
+TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -69,6 +74,22 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(docs).select("doc_id", *(f"n_{k}" for k in pii.BASE), "base_sha256", "spans")
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = tokens.count(docs, public_tokenizers.path(TOKENIZER), keep_text=False)
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    talks = tries.crossed(_table(spark, folder, "conversations"))
+    return tries.nodes(talks).select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+                                     "saved_tokens", "ends_sha256")
+
+
 OP1_SQL = r"""
 WITH w AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
                   list_filter(string_split(coalesce(text, ''), chr(10)),
@@ -127,6 +148,74 @@ SELECT doc_id, size, source_size, target,
         + greatest(least(b + 2 * source_size + size, take) - least(b + 2 * source_size, take), 0))::BIGINT AS taken
 FROM o"""
 
+# CRC-32 of ASCII or UTF-8 bytes, by a table made from its polynomial.
+CRC = r"""
+crc AS (SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+                    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+        FROM (SELECT unnest(generate_series(0, 255))::BIGINT AS i))"""
+
+
+def _crc(text: str) -> str:
+    codes = (f"list_transform(generate_series(1, octet_length(encode({text}))), "
+             f"lambda i: ('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT)")
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), "
+            "lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)")
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE {CRC},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+         FROM documents),
+low AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+        FROM runs WHERE length(run) >= 5 GROUP BY 1, 2),
+h AS (SELECT w, n, {_crc("coalesce(doc_id::VARCHAR, '') || ':' || w")} AS h FROM low, crc),
+made AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2)
+                     ELSE w END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+        FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM v)),
+pairs AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b
+              ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+          UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+          UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(other_n) AS top FROM pairs GROUP BY word),
+form AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top >= 2 * v.n THEN top END AS form_n,
+                CASE WHEN top >= 2 * v.n THEN (SELECT min(encode(p.other)) FROM pairs p WHERE p.word = v.word
+                                               AND p.other_n = top) END AS form
+         FROM v LEFT JOIN best ON best.word = v.word),
+named AS (SELECT word, n, n_near, form_n, decode(form) AS form FROM form),
+chain AS (SELECT word, word AS root, form AS next FROM named
+          UNION ALL SELECT c.word, c.next, f.form FROM chain c JOIN named f ON f.word = c.next)
+SELECT named.word, named.form, chain.root, named.n, named.n_near, named.form_n
+FROM named JOIN chain ON chain.word = named.word AND chain.next IS NULL"""
+
+OP13_SQL = rf"""
+WITH {CRC},
+t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(octet_length(encode(coalesce(
+                                role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+      FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(struct_pack(role := role, text := text) ORDER BY p) AS turns FROM t GROUP BY c),
+h AS (SELECT c, turns, {_crc("c::VARCHAR")} % 9 AS h FROM own, crc),
+s AS (SELECT h.c, list_concat(coalesce(list_slice(b.turns, 1, h), []), coalesce(list_slice(h.turns, h + 1, len(h.turns)), []))
+             AS turns FROM h LEFT JOIN own b ON b.c = h.c - h.c % 5),
+p AS (SELECT c, d, list_slice(turns, 1, d) AS pre, len(turns) AS size,
+             CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(turns[d].text)) END AS bytes
+      FROM (SELECT *, unnest(generate_series(0, len(turns))) AS d FROM s)),
+n AS (SELECT d, pre, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own_saved,
+             string_agg(CASE WHEN size = d THEN c::VARCHAR END, ',' ORDER BY c) AS ends FROM p GROUP BY d, pre),
+named AS (SELECT p.c, n.*, lag(n.conv_id) OVER (PARTITION BY p.c ORDER BY p.d) AS parent
+          FROM p JOIN n ON n.d = p.d AND n.pre = p.pre),
+node AS (SELECT DISTINCT ON (d, conv_id) d, conv_id, parent, n_convs, own_saved, ends FROM named ORDER BY d, conv_id, c),
+kids AS (SELECT d - 1 AS d, parent AS conv_id, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+full_node AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids USING (d, conv_id)),
+under AS (SELECT a.d, a.conv_id, sum(x.own_saved) AS saved, count(*) FILTER (x.n_children = 0) AS leaves
+          FROM (SELECT DISTINCT a.d, a.conv_id, b.d AS xd, b.conv_id AS xc FROM named a JOIN named b
+                ON a.c = b.c AND b.d >= a.d) a JOIN full_node x ON x.d = a.xd AND x.conv_id = a.xc GROUP BY ALL)
+SELECT conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n_convs, n_children::BIGINT AS n_children,
+       leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM full_node JOIN under USING (d, conv_id)"""
+
 QUERIES = {
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
     "op2_suffix_dedup": (op2_suffix_dedup, None),
@@ -138,4 +227,7 @@ QUERIES = {
     "op8_source_mix": (op8_source_mix, OP8_SQL),
     "op9_url_filter": (op9_url_filter, None),
     "op10_personal_data": (op10_personal_data, None),
+    "op11_spelling_variants": (op11_spelling_variants, OP11_SQL),
+    "op12_token_counts": (op12_token_counts, None),
+    "op13_conversation_trie": (op13_conversation_trie, OP13_SQL),
 }

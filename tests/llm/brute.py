@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -141,3 +143,69 @@ def personal(text):
                 n += 1
         counts.append(n)
     return (*counts, hashlib.sha256(",".join(out).encode()).hexdigest())
+
+
+def crossed(rows, group=5, shared=9):
+    """Turns (role, text) per conversation, rebuilt; rows are (conv_id, turn, role, text)."""
+    name = lambda role, text: hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).digest()
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            own[c].append((turn is not None, turn or 0, name(role or "", text or ""), role or "", text or ""))
+    own = {c: [x[3:] for x in sorted(v)] for c, v in own.items()}
+    out = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % shared
+        base = c - int(math.fmod(c, group))
+        out[c] = own.get(base, [])[:h] + own[c][h:]
+    return out
+
+
+def trie(talks):
+    """Rows (conv_id, depth, parent, members, children, leaves, saved, ends) of every distinct prefix."""
+    members = defaultdict(list)
+    for c in sorted(talks):
+        for d in range(len(talks[c]) + 1):
+            members[tuple(talks[c][:d])].append(c)
+    kids = Counter(p[:-1] for p in members if p)
+    out = []
+    for p, m in members.items():
+        below = [(q, x) for q, x in members.items() if q[:len(p)] == p]
+        saved = sum((len(x) - 1) * len(q[-1][1].encode()) for q, x in below if q)
+        ends = ",".join(str(c) for c in m if len(talks[c]) == len(p))
+        out.append((m[0], len(p), members[p[:-1]][0] if p else None, len(m), kids[p],
+                    sum(not kids[q] for q, _ in below), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def variants(docs, min_chars=5, min_count=3, ratio=2, typo=97):
+    """Rows (word, form, root, n, n_near, form_n); docs are (doc_id, text)."""
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % typo == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    n = {w: k for w, k in counts.items() if len(w) >= min_chars and k >= min_count}
+
+    def near(a, b):
+        if len(a) > len(b):
+            a, b = b, a
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+    forms, found = {}, {}
+    for w in n:
+        found[w] = [v for v in n if near(w, v)]
+        best = min(found[w], key=lambda v: (-n[v], v), default=None)
+        forms[w] = best if best is not None and n[best] >= ratio * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        out.append((w, forms[w], root, n[w], len(found[w]), n[forms[w]] if forms[w] else None))
+    return sorted(out, key=str)
