@@ -31,6 +31,18 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns. Maps and variants, which Spark does not hash, go in as JSON."""
+    def hashable(kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(hashable(f.dataType) for f in kind.fields)
+        if isinstance(kind, T.ArrayType):
+            return hashable(kind.elementType)
+        return not isinstance(kind, (T.MapType, T.VariantType))
+
+    return F.xxhash64(*[col(f.name) if hashable(f.dataType) else F.to_json(F.struct(col(f.name))) for f in df.schema.fields])
+
+
 def with_columns(docs: DataFrame, added: list[T.StructField], compute: Callable[[pa.Array], list[pa.Array]],
                  text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with columns computed from the text column of each Arrow batch.

@@ -49,7 +49,7 @@ def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.train_on_labels(docs, _table(spark, folder, "labels"))
-    found = toxicity.score(docs, model)
+    found = toxicity.score(docs, model, keep_text=False)
     return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 

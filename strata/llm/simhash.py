@@ -11,7 +11,7 @@ of one half, so the two halves are covered with t = 1 each, which keeps the copi
 
 Equal fingerprints are one node from the start. Anchor groups are compared in blocks of bounded size: a group beyond
 ``GROUP`` members is dealt to block pairs by a hash, so that no task ever holds more than two blocks. A group reports the
-links of a spanning forest of its members, not all pairs; components are then joined by star contraction.
+links of a spanning forest of its members, not all pairs; components are then joined (see ``components``).
 
 Edge cases: null and empty texts, and texts of spaces only, have fingerprint zero and link like any other; texts of fewer
 words than a shingle hash whole; repeated rows and ids share a node; a null id gets a fingerprint and its component,
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import components, stored
-from strata.llm.frames import col, field, unused, with_columns
+from strata.llm.frames import col, field, row_hash, unused, with_columns
 
 SHINGLE = 3
 DISTANCE = 3
@@ -150,7 +150,10 @@ def _forest(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def links(nodes: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> DataFrame:
-    """``a, b``: links that connect all distinct fingerprints (column ``fp``) within ``distance``, at most 3 bits."""
+    """``a, b``: links that connect all distinct fingerprints (column ``fp``) within ``distance``, at most 3 bits.
+
+    A link that shows at several anchors is given as often.
+    """
     if not 0 <= distance <= 3:
         raise ValueError("the cover by halves holds for 0 to 3 differing bits")
     cover = Cover(distance // 2)
@@ -190,7 +193,7 @@ def links(nodes: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> Dat
 
     grouped = dealt.select("anchor", "pair.i", "pair.j", "fp")
     sorted_ = grouped.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j")
-    return sorted_.mapInArrow(compare, "a long, b long").distinct()
+    return sorted_.mapInArrow(compare, "a long, b long")
 
 
 def _group_links(values: np.ndarray, ends: np.ndarray, distance: int) -> pa.RecordBatch:
@@ -241,11 +244,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     """One row of each near-duplicate group, with its columns: the least id (nulls last), then the least row hash.
 
     Groups are settled on ids, fingerprints and row hashes alone. Texts are moved once, to pick the rows to keep; rows
-    that agree in every column are one.
+    that agree in every column (maps by their entries as JSON) are one.
     """
     # A row is known by its id and hash; the names are such that no column of the documents has.
     hashed = unused(docs, "_row")
-    rows = docs.withColumn(hashed, F.xxhash64(*map(col, docs.columns)))
+    rows = docs.withColumn(hashed, row_hash(docs))
     marked = fingerprints(rows.select(col(doc_id).alias("id"), col(text).alias("text"), F.col(hashed).alias("row")),
                           output="fp", shingle=shingle)
     marked = stored(marked.select("id", "fp", "row"), "fingerprints")

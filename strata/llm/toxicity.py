@@ -12,7 +12,7 @@ sample's feature lists.
 
 Edge cases: a null or empty text has the bias as its only feature; labels that are null are not used; without labelled
 rows of both classes every score is the smoothed rate of the labels seen (one half without any); equal texts get equal
-scores; repeated labels of one document count as often as they stand; other columns pass through.
+scores; rows that agree in id, text and label teach once; other columns pass through.
 """
 
 from __future__ import annotations
@@ -40,8 +40,12 @@ WORD = np.zeros(256, bool)
 WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def features(part: Slice, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Document and slot of each distinct feature, ordered by document and slot. Slot 0 is the bias."""
+def features(part: Slice, bits: int = BITS, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Document and slot of each distinct feature, ordered by document and slot. Slot 0 is the bias.
+
+    ``wanted`` marks the slots that matter (scoring has no use for slots of weight zero, which are nearly all); others
+    are left out before the distinct ones are found.
+    """
     data = LOWER[part.data]
     starts, ends, docs = part.runs(WORD[data])
     hasher = Hasher(data)
@@ -57,11 +61,14 @@ def features(part: Slice, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     for skip in (0, 1):
         hashes, at = grams(words, docs, 2, skip)
         found.append((docs[at], hashes))
-    of = np.concatenate([d for d, _ in found]).astype(np.uint64)
-    slot = np.concatenate([h for _, h in found]) >> np.uint64(64 - bits)
-    slot = np.where(slot == 0, np.uint64(1), slot)
-    keys = np.unique(np.concatenate([(of << np.uint64(bits)) | slot,
-                                     np.arange(part.n, dtype=np.uint64) << np.uint64(bits)]))
+    keys = [np.arange(part.n, dtype=np.uint64) << np.uint64(bits)]
+    for of, hashes in found:
+        slot = np.maximum(hashes >> np.uint64(64 - bits), np.uint64(1))
+        if wanted is not None:
+            hit = np.flatnonzero(wanted[slot.view(np.int64)])
+            of, slot = of[hit], slot[hit]
+        keys.append((of.astype(np.uint64) << np.uint64(bits)) | slot)
+    keys = np.unique(np.concatenate(keys))
     return (keys >> np.uint64(bits)).astype(np.int64), (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
@@ -111,12 +118,13 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", order: Co
         sample_rows: int = SAMPLE_ROWS, rates: Rates = Rates()) -> Model:
     """Learn from a bounded sample of the rows with a label of 0 or 1.
 
-    Rows are sampled and put in order by a hash of ``order`` (the text by default).
+    Rows are sampled and put in order by a hash of ``order`` and the text; rows that agree in both and in the label are
+    one, so that no document fills the sample, however often it stands in the table.
     """
     rows = labelled.filter(F.col(label).isin(0, 1)).select(
         F.col(text).alias("text"), F.col(label).cast("int").alias("label"),
-        F.xxhash64(order if order is not None else F.col(text)).alias("at"))
-    total = rows.count()
+        F.xxhash64(*([] if order is None else [order]), F.col(text)).alias("at"))
+    total = rows.select("at", "label").distinct().count()
     if total > sample_rows:
         rows = rows.filter(F.pmod("at", F.lit(1 << 30)) < int((1 << 30) * sample_rows / total))
 
@@ -140,12 +148,13 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", order: Co
         yield pa.RecordBatch.from_arrays([pa.array(model.slots.astype(np.int64)), pa.array(model.weights)],
                                          ["slot", "weight"])
 
-    lists = with_columns(rows, [field("slots", "array<int>")], extract).select("at", "label", "slots")
+    rows = rows.dropDuplicates(["at", "label"])
+    lists = with_columns(rows, [field("slots", "array<int>")], extract, keep_text=False).select("at", "label", "slots")
     found = lists.repartition(1).mapInArrow(learn, "slot long, weight double").toPandas()
     return Model(found.slot.to_numpy(np.int64), found.weight.to_numpy(float), bits)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", output: str = "score") -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text", output: str = "score", keep_text: bool = True) -> DataFrame:
     """Add ``output``: the probability, 0 to 1, that the text is toxic. One map over the documents."""
     shared = docs.sparkSession.sparkContext.broadcast((model.slots, model.weights, model.bits))
     cache: dict[str, np.ndarray] = {}
@@ -153,14 +162,15 @@ def score(docs: DataFrame, model: Model, text: str = "text", output: str = "scor
     def run(column: pa.Array) -> list:
         if "w" not in cache:
             cache["w"] = Model(*shared.value).dense()
+            cache["wanted"] = cache["w"] != 0
         found = [np.zeros(0)]
         for part in slices(column):
-            of, slots = features(part, shared.value[2])
+            of, slots = features(part, shared.value[2], cache["wanted"])
             sums = np.bincount(of, cache["w"][slots], minlength=part.n)
             found.append(1 / (1 + np.exp(-np.clip(sums, -35, 35))))
         return [np.concatenate(found)]
 
-    return with_columns(docs, [field(output, "double")], run, text)
+    return with_columns(docs, [field(output, "double")], run, text, keep_text)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -20,7 +20,6 @@ columns other than the id and the text are not read.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -33,33 +32,41 @@ from pyspark.sql import functions as F
 from strata.llm.components import stored
 from strata.llm.frames import col
 
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 MIN_CHARS, MIN_COUNT, RATIO, TYPO = 5, 3, 2, 97
-CLASSES = 5
 TILE = 2048
 TILE_CELLS = 1 << 22
 HELD = 1 << 18
 
+# Latin-1 bytes of a text: A-Z lower-cased, what stands between words made blank.
+LETTERS = [*range(0x61, 0x7B), *range(0xC0, 0x100)]
+RUNS = bytes(c + 32 if 0x41 <= c < 0x5B else c if c in LETTERS else 0x20 for c in range(256))
+
+# Classes of letters by code point, and numbers for them by which a block's counts become one number (two blocks with one
+# number would only be compared as well). The products of 31-bit counts and their sum stay within 64 bits.
+CLASSES = ["".join(chr(c) for c in LETTERS if c % 5 == k) for k in range(5)]
+PRIME = 536870909
+NUMBERS = [pow(7919, 3 * k + 2, PRIME) for k in range(5)]
+
 
 # --- words ------------------------------------------------------------------------------------------------------------
 
-def tally(texts: list[str | None], ids: list, min_chars: int = MIN_CHARS, typo: int = TYPO) -> Counter[str]:
-    """How often each word stands in the texts. In a share 1/``typo`` of the (id, word) pairs one letter is left out."""
-    seen: Counter[str] = Counter()
+def tally(texts: list[str | None], ids: list, min_chars: int = MIN_CHARS, typo: int = TYPO) -> dict[bytes, int]:
+    """How often each word, as Latin-1 bytes, stands in the texts. In 1/``typo`` of the (id, word) pairs one letter is
+    left out."""
+    seen: dict[bytes, int] = {}
     for doc_id, text in zip(ids, texts, strict=True):
         name = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-        for word, n in Counter(RUN.findall(text or "")).items():
+        # Characters beyond Latin-1 are no letters here; each becomes one "?".
+        for word, n in Counter((text or "").encode("latin-1", "replace").translate(RUNS).split()).items():
             if len(word) < min_chars:
                 continue
-            word = word.translate(LOWER)
-            h = zlib.crc32(word.encode(), name)
+            h = zlib.crc32(word if word.isascii() else word.decode("latin-1").encode(), name)
             if h % typo == 0:
                 at = h % len(word)
                 word = word[:at] + word[at + 1:]
                 if len(word) < min_chars:
                     continue
-            seen[word] += n
+            seen[word] = seen.get(word, 0) + n
     return seen
 
 
@@ -67,11 +74,11 @@ def words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars
           min_count: int = MIN_COUNT, typo: int = TYPO) -> DataFrame:
     """``word, n`` of all words that are long and frequent enough. Tasks add up before anything is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
+        seen: Counter[bytes] = Counter()
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())],
-                                              ["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([w.decode("latin-1") for w in seen], pa.string()),
+                                              pa.array(seen.values(), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
@@ -89,32 +96,31 @@ def words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars
 
 # --- near words -------------------------------------------------------------------------------------------------------
 
-def _classes(word: Column) -> Column:
-    """How many letters of each class a word has; classes go by code point modulo their number."""
-    letters = F.transform(F.filter(F.split(word, ""), lambda x: x != ""), lambda x: F.ascii(x) % CLASSES)
-    return F.transform(F.array(*map(F.lit, range(CLASSES))), lambda k: F.size(F.filter(letters, lambda x: x == k)))
+def _block(word: Column) -> Column:
+    """The number of a word's counts per class of letters."""
+    counts = [F.length(word) - F.length(F.translate(word, letters, "")) for letters in CLASSES]
+    return sum((c.cast("long") * n for c, n in zip(counts, NUMBERS, strict=True)), F.lit(0)) % PRIME
 
 
-def _steps() -> list[tuple[int, ...]]:
-    """Changes of the class counts that one edit can make, up to its direction: none, one letter more, one moved."""
-    one = np.eye(CLASSES, dtype=int)
-    moved = [one[i] - one[j] for i in range(CLASSES) for j in range(i)]
-    return [tuple(map(int, s)) for s in (np.zeros(CLASSES, int), *one, *moved)]
+def _steps() -> list[tuple[int, int]]:
+    """Changes of a block's number that one edit can make, up to its direction, and letters more: none, one, one moved."""
+    moved = [((NUMBERS[i] - NUMBERS[j]) % PRIME, 0) for i in range(len(CLASSES)) for j in range(i)]
+    return [(0, 0), *((n, 1) for n in NUMBERS), *moved]
 
 
-def _counts(codes: np.ndarray, dtype: type) -> np.ndarray:
-    """Letter counts (256 columns, those that no word has left out) of words given as code points, -1 beyond the end."""
-    rows, at = np.nonzero(codes >= 0)
-    used, letter = np.unique(codes[rows, at], return_inverse=True)
-    return np.bincount(rows * len(used) + letter, minlength=len(codes) * len(used)).reshape(len(codes), -1).astype(dtype), used
+def _codes(some: np.ndarray) -> np.ndarray:
+    """Code points of words of one length."""
+    return np.frombuffer("".join(some).encode("latin-1"), np.uint8).reshape(len(some), -1)
 
 
-def _codes(some: np.ndarray, width: int) -> np.ndarray:
-    """Code points of words of at most ``width`` characters, -1 beyond the end."""
-    out = np.full((len(some), width), -1, np.int16)
-    for i, w in enumerate(some):
-        out[i, :len(w)] = np.frombuffer(w.encode("latin-1"), np.uint8)
-    return out
+def _counts(sides: list[np.ndarray], dtype: type) -> list[np.ndarray]:
+    """Letter counts of the words of each side, with a column for every letter that occurs."""
+    used = np.zeros(256, bool)
+    for codes in sides:
+        used[codes] = True
+    column, width = np.cumsum(used) - 1, int(used.sum())
+    return [np.bincount((column[codes] + np.arange(len(codes))[:, None] * width).ravel(), minlength=len(codes) * width)
+            .reshape(len(codes), width).astype(dtype) for codes in sides]
 
 
 def one_edit(short: np.ndarray, long: np.ndarray, same_length: bool) -> np.ndarray:
@@ -131,12 +137,12 @@ def near_pairs(left: np.ndarray, right: np.ndarray, same_tile: bool) -> tuple[np
     """Index pairs of words one edit apart. All words of a side have one length, equal or one more on the right."""
     if not len(left) or not len(right):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    short, long = len(left[0]), len(right[0])
-    a, b = _codes(left, short), _codes(right, long)
+    a = _codes(left)
+    b = a if same_tile else _codes(right)
+    short, long = a.shape[1], b.shape[1]
     # Products of counts are exact in single precision below 2^24.
-    dtype = np.float32 if long < 2048 else np.float64
-    both, _ = _counts(np.concatenate([np.pad(a, ((0, 0), (0, long - short)), constant_values=-1), b]), dtype)
-    x, y = both[:len(a)], both[len(a):]
+    x, *rest = _counts([a] if same_tile else [a, b], np.float32 if long < 2048 else np.float64)
+    y = rest[0] if rest else x
     gram = x @ y.T
     gap = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * gram
     i, j = np.nonzero(gap <= 2)
@@ -150,64 +156,55 @@ def near_pairs(left: np.ndarray, right: np.ndarray, same_tile: bool) -> tuple[np
 
 def neighbours(vocabulary: DataFrame, tile: int = TILE) -> DataFrame:
     """``word, n, other, other_n``: every ordered pair of words that are one edit apart. Takes ``word, n``."""
-    keyed = vocabulary.select("word", "n", F.length("word").alias("length"), _classes(F.col("word")).alias("counts"))
+    keyed = vocabulary.select("word", "n", F.length("word").alias("length"), _block(F.col("word")).alias("block"))
     per_tile = F.greatest(F.lit(1), F.least(F.lit(tile), F.lit(TILE_CELLS) / F.col("length"))).cast("long")
-    sizes = keyed.groupBy("length", "counts").agg(F.count("*").alias("size")).withColumn(
-        "tiles", F.ceil(F.col("size") / per_tile).cast("long"))
-    keyed = stored(keyed.join(sizes, ["length", "counts"]).withColumn(
-        "tile", F.pmod(F.xxhash64("word"), F.col("tiles"))).drop("size"), "words")
-    # A pair of blocks is named by its lower block and the step to the upper one.
-    steps = F.array(*[F.struct(F.lit(k).alias("step"), F.array(*map(F.lit, s)).alias("by"), F.lit(sum(s)).alias("longer"))
-                      for k, s in enumerate(_steps())])
-    each = keyed.select("*", F.explode(steps).alias("s"))
-    moved = lambda sign: F.transform(
-        F.arrays_zip("counts", F.col("s.by").alias("by")), lambda z: z["counts"] + sign * z["by"])
-    known = sizes.select("length", "counts", F.col("tiles").alias("others"))
-    as_lower = each.select("word", "n", "tile", F.col("s.step").alias("step"), F.lit(0).alias("side"),
-                           F.col("length").alias("of"), F.col("counts").alias("lower"),
-                           (F.col("length") + F.col("s.longer")).alias("to"), moved(1).alias("upper"))
-    as_upper = each.filter("s.step > 0").select(
-        "word", "n", "tile", F.col("s.step").alias("step"), F.lit(1).alias("side"),
-        (F.col("length") - F.col("s.longer")).alias("of"), moved(-1).alias("lower"),
-        F.col("length").alias("to"), F.col("counts").alias("upper"))
-    # Only steps that lead to a block with words; that block's tiles say how often a word is needed.
-    as_lower = as_lower.join(known.toDF("to", "upper", "others"), ["to", "upper"])
-    as_upper = as_upper.join(known.toDF("of", "lower", "others"), ["of", "lower"])
-    columns = ["of", "lower", "step", "side", "tile", "others", "word", "n"]
-    copies = as_lower.select(*columns).unionByName(as_upper.select(*columns)).select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)).alias("other"))
-    first = F.when(F.col("step") == 0, F.least("tile", "other")).otherwise(
-        F.when(F.col("side") == 0, F.col("tile")).otherwise(F.col("other")))
-    second = F.when(F.col("step") == 0, F.greatest("tile", "other")).otherwise(
-        F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("tile")))
-    # Within a block the lesser tile is the left side.
-    side = F.when(F.col("step") == 0, (F.col("tile") > F.col("other")).cast("int")).otherwise(F.col("side"))
-    key = F.concat_ws(",", "of", F.col("lower").cast("array<string>"), "step", first, second)
-    inner = (F.col("step") == 0) & (F.col("tile") == F.col("other"))
-    dealt = copies.select(key.alias("pair"), side.alias("side"), inner.alias("inner"), "word", "n")
-    ordered = dealt.repartition("pair").sortWithinPartitions("pair", "side", "word")
+    sizes = stored(keyed.groupBy("length", "block").agg(F.count("*").alias("size")).select(
+        "length", "block", F.ceil(F.col("size") / per_tile).cast("long").alias("tiles")), "blocks")
+    keyed = keyed.join(sizes, ["length", "block"]).withColumn("tile", F.pmod(F.xxhash64("word"), F.col("tiles")))
+    # A pair of blocks is named by its lower block and the step to the upper one. A word is the left side where its own
+    # block is the lower one, and goes to every pair whose other block has words, once for each tile of that block.
+    steps = [F.struct(F.lit(k).alias("step"), F.lit(side).alias("side"), F.lit(n).cast("long").alias("number"),
+                      F.lit(longer).alias("longer"))
+             for k, (n, longer) in enumerate(_steps()) for side in (0, 1) if k or not side]
+    each = keyed.select("*", F.inline(F.array(*steps)))
+    sign = F.when(F.col("side") == 0, 1).otherwise(-1)
+    met = each.withColumns({"to_length": F.col("length") + sign * F.col("longer"),
+                            "to_block": F.pmod(F.col("block") + sign * F.col("number"), F.lit(PRIME))})
+    met = met.join(sizes.toDF("to_length", "to_block", "others"), ["to_length", "to_block"])
+    copies = met.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("others") - 1)).alias("other"))
+    left = F.when(F.col("step") == 0, F.col("tile") <= F.col("other")).otherwise(F.col("side") == 0)
+    dealt = copies.select(
+        F.when(F.col("side") == 0, F.col("length")).otherwise(F.col("to_length")).alias("length"),
+        F.when(F.col("side") == 0, F.col("block")).otherwise(F.col("to_block")).alias("block"), "step",
+        F.when(left, F.col("tile")).otherwise(F.col("other")).alias("i"),
+        F.when(left, F.col("other")).otherwise(F.col("tile")).alias("j"), left.alias("left"), "word", "n")
+    keys = ["length", "block", "step", "i", "j"]
+    ordered = dealt.repartition(*keys).sortWithinPartitions(*keys)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []  # of the pair of tiles that is being read
+        last = None
         for batch in batches:
-            pair = batch.column(0).to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(pair[1:] != pair[:-1]) + 1).tolist(), len(pair)]
+            pair = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(5)])
+            cuts = [0, *(np.flatnonzero((pair[:, 1:] != pair[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if held and held[0].column(0)[0].as_py() != pair[a]:
-                    yield from _products(held)
+                if a == b:
+                    continue
+                if held and (pair[:, a] != last).any():
+                    yield from _products(held, inner=last[2] == 0 and last[3] == last[4])
                     held = []
                 held.append(batch.slice(a, b - a))
+                last = pair[:, a]
         if held:
-            yield from _products(held)
+            yield from _products(held, inner=last[2] == 0 and last[3] == last[4])
 
     return ordered.mapInArrow(multiply, "word string, n long, other string, other_n long")
 
 
-def _products(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    side, word, n = (np.concatenate([r.column(k).to_numpy(zero_copy_only=False) for r in rows]) for k in (1, 3, 4))
-    inner = rows[0].column(2)[0].as_py()
-    left = np.flatnonzero(side == 0)
-    right = left if inner else np.flatnonzero(side == 1)
+def _products(rows: list[pa.RecordBatch], inner: bool) -> Iterator[pa.RecordBatch]:
+    left, word, n = (np.concatenate([r.column(k).to_numpy(zero_copy_only=False) for r in rows]) for k in (5, 6, 7))
+    right = np.flatnonzero(left if inner else ~left)
+    left = np.flatnonzero(left)
     i, j = near_pairs(word[left], word[right], inner)
     if len(i):
         i, j = left[i], right[j]

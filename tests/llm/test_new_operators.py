@@ -51,12 +51,17 @@ def test_distances_hold_every_edit():
             if not len(right):
                 continue
             i, j = variants.near_pairs(left, right, short == long)
-            codes = lambda some, n: variants._codes(some, n)
             expected = {(a, b) for a in range(len(left)) for b in range(len(right)) if (short != long or a < b)
-                        and variants.one_edit(codes(left[[a]], short), codes(right[[b]], long), short == long)[0]}
+                        and variants.one_edit(variants._codes(left[[a]]), variants._codes(right[[b]]), short == long)[0]}
             assert set(zip(i.tolist(), j.tolist(), strict=True)) == expected and expected
 
 
+def test_steps_tell_blocks_apart():
+    steps = variants._steps()
+    signed = {(sign * n % variants.PRIME, sign * longer) for n, longer in steps[1:] for sign in (1, -1)}
+    assert len(signed) == 2 * len(steps[1:]) and (0, 0) not in signed
+
+
 # --- token counts -------------------------------------------------------------------------------------------------------
 
 def odd_texts():
