@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontam, lines, mixing, near, toxicity
+from strata.llm import decontam, lines, mixing, simhash, toxicity
 from strata.session import shared_dir
 
 
@@ -27,8 +27,8 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, similarity 0.8 or more)."""
-    return near.keep_one(docs)
+    """One document of each group of near duplicates (three-word shingles, fingerprints of 3 or fewer differing bits)."""
+    return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
