@@ -56,11 +56,12 @@ class SilverTable:
         return f"{self.target}_quarantine"
 
 
-def parsed(raw: DataFrame, spec: SilverTable, headers: DataFrame | None = None) -> DataFrame:
+def parsed(raw: DataFrame, spec: SilverTable, headers: DataFrame | None = None,
+           lines: DataFrame | None = None) -> DataFrame:
     """Raw rows of the table's format, as typed and exploded rows."""
     rows = payload.of_format(raw, spec.file_format)
     if spec.file_format == "json":
-        rows = payload.parse_json(rows, spec.schema, rescue_fields=spec.rescue_fields)
+        rows = payload.parse_json(rows, spec.schema, rescue_fields=spec.rescue_fields, lines=lines)
     elif spec.file_format == "csv":
         rows = payload.parse_csv(rows, spec.schema, headers=headers)
     else:
@@ -118,7 +119,8 @@ def from_bronze(spark: SparkSession, source_table: str, spec: SilverTable, check
 
     def batch(raw: DataFrame, batch_id: int) -> None:
         headers = _headers(raw, source_table) if spec.file_format == "csv" else None
-        done.append(store_batch(parsed(raw, spec, headers), batch_id, spec))
+        lines = _lines(raw, source_table) if spec.file_format == "json" and spec.batch_bytes else None
+        done.append(store_batch(parsed(raw, spec, headers, lines), batch_id, spec))
 
     reader = spark.readStream
     if spec.batch_bytes:
@@ -128,6 +130,17 @@ def from_bronze(spark: SparkSession, source_table: str, spec: SilverTable, check
     return done
 
 
+def _lines(raw: DataFrame, source_table: str) -> DataFrame | None:
+    """All lines of the oversize JSON files that the batch has lines of, from the bronze files of the same ingestion."""
+    pieces = payload.of_format(raw, "json").filter(F.col("chunk_line").isNotNull())
+    since, until = pieces.agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    if since is None:
+        return None
+    bronze = payload.of_format(raw.sparkSession.read.table(source_table), "json")
+    return bronze.filter(F.col("ingested_at").between(since, until) & F.col("chunk_line").isNotNull()).join(
+        pieces.select("source_file").distinct(), "source_file", "left_semi")
+
+
 def _headers(raw: DataFrame, source_table: str) -> DataFrame:
     """Header lines for the batch's rows of oversize CSV files.
 
