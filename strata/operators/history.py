@@ -9,13 +9,13 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.adjacent import adjacent, last_known
+from strata.operators.adjacent import CHUNK, CHUNK_ROWS, adjacent_in_chunks, chunked, last_known
 
 START, END = "__start_at", "__end_at"
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str], order_by: Sequence[str],
-         unit: str = "day") -> DataFrame:
+         unit: str | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Versions of the tracked columns per key from a change feed.
 
     ``order_by`` is a total order whose first column is the change time. A row that repeats the previous tracked
@@ -24,14 +24,16 @@ def scd2(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str], order_
     time = order_by[0]
     state = F.struct(*tracked)
     feed = changes.select(*dict.fromkeys((*keys, *tracked, *order_by)))
-    compared = adjacent(feed, keys, order_by, F.struct(state.alias("s")), "_before", unit=unit)
+    # Cut once: the rows that open a version keep their chunks.
+    feed, several = chunked(feed, keys, order_by, unit, chunk_rows)
+    compared = adjacent_in_chunks(feed, several, keys, order_by, F.struct(state.alias("s")), "_before")
     opened = compared.filter(F.col("_before").isNull() | ~F.col("_before.s").eqNullSafe(state)).drop("_before")
-    closed = adjacent(opened, keys, order_by, F.col(time), END, ahead=True, unit=unit)
+    closed = adjacent_in_chunks(opened, several, keys, order_by, F.col(time), END, ahead=True).drop(CHUNK)
     return closed.select(*keys, *tracked, F.col(time).alias(START), *[c for c in order_by[1:] if c not in keys], END)
 
 
 def scd2_merge(history: DataFrame, updates: DataFrame, keys: Sequence[str], tracked: Sequence[str],
-               order_by: Sequence[str], unit: str = "day", changes: DataFrame | None = None) -> DataFrame:
+               order_by: Sequence[str], unit: str | None = None, changes: DataFrame | None = None) -> DataFrame:
     """Bring a batch of changes into a history: versions of the touched keys are rebuilt, all others pass as they
     are. Late changes are placed where they belong in time.
 
@@ -56,7 +58,7 @@ def state_at(history: DataFrame, instant: Column) -> DataFrame:
 
 
 def as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], time: str, columns: Sequence[str],
-          tie_break: Sequence[str] = (), unit: str = "day") -> DataFrame:
+          tie_break: Sequence[str] = (), unit: str | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """For each fact row the ``columns`` of its key's version in force at ``time``, NULL if there was none.
 
     A column that the facts have too is named ``version_<column>``.
@@ -74,7 +76,7 @@ def as_of(facts: DataFrame, history: DataFrame, keys: Sequence[str], time: str,
     merged = rows.unionByName(versions, allowMissingColumns=True)
     # At one instant versions come before facts; of several versions starting together the last is in force.
     order = [time, "_kind", *[f"_tie_{c}" for c in tie_break]]
-    filled = last_known(merged, keys, order, F.col("_version"), "_found", unit).filter("_kind = 1")
+    filled = last_known(merged, keys, order, F.col("_version"), "_found", unit, chunk_rows).filter("_kind = 1")
     in_force = F.col("_found._end").isNull() | (F.col("_found._end") > F.col(time))
     return filled.select(
         *[F.col("_fact")[c].alias(c) for c in facts.columns],

@@ -22,7 +22,7 @@ def changes_of(table: str) -> str:
 
 
 def merge(spark: SparkSession, changes: DataFrame, table: str, keys: Sequence[str], tracked: Sequence[str],
-          order_by: Sequence[str], buckets: int = tables.DEFAULT_BUCKETS, unit: str = "day") -> None:
+          order_by: Sequence[str], buckets: int = tables.DEFAULT_BUCKETS, unit: str | None = None) -> None:
     """Bring a batch of changes into the history (arguments as for :func:`strata.operators.history.scd2`).
 
     Rows whose keys are NULL share one history. Equal rows count once. ``buckets`` counts when the table is created.

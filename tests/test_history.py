@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators import history
-from strata.operators.adjacent import adjacent, last_known
+from strata.operators.adjacent import adjacent, chunked, last_known
 
 BASE = datetime.datetime(2024, 1, 1)
 
@@ -55,6 +55,30 @@ def test_last_known_equals_the_plain_window(events, unit):
     assert sorted(map(str, chunked.collect())) == sorted(map(str, plain.collect()))
 
 
+@pytest.mark.parametrize("chunk_rows", [7, 100, 10_000])
+def test_chunks_by_count_equal_the_plain_window(events, feed, chunk_rows):
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    text = lambda df: sorted(map(str, df.collect()))
+    for ahead in (False, True):
+        plain = events.withColumn("p", (F.lead if ahead else F.lag)("v").over(w))
+        assert text(adjacent(events, ["k"], ["ts", "id"], F.col("v"), "p", ahead, chunk_rows=chunk_rows)) == text(plain)
+    plain = events.withColumn("p", F.last("v", ignorenulls=True).over(w))
+    assert text(last_known(events, ["k"], ["ts", "id"], F.col("v"), "p", chunk_rows=chunk_rows)) == text(plain)
+    rows = [tuple(r) for r in history.scd2(events, ["k"], ["v"], ["ts", "id"], chunk_rows=chunk_rows).collect()]
+    assert sorted(rows, key=str) == sorted(versions(feed), key=str)
+
+
+def test_a_busy_instant_is_cut_at_equal_counts(spark):
+    # One key, one instant, a million rows: many chunks of like size, and the versions of a plain window.
+    rows = spark.range(1_000_000).select(F.lit(1).alias("k"), F.lit(BASE).cast("timestamp_ntz").alias("ts"), "id",
+                                         F.expr("id div 1000").alias("v"))
+    cut, several = chunked(rows, ["k"], ["ts", "id"], chunk_rows=50_000)
+    sizes = [r["count"] for r in cut.groupBy("_chunk").count().collect()]
+    assert several and len(sizes) >= 15 and sum(sizes) == 1_000_000 and max(sizes) < 150_000
+    found = history.scd2(rows, ["k"], ["v"], ["ts", "id"], chunk_rows=50_000)
+    assert found.count() == 1000 and found.agg(F.min(F.expr("id = v * 1000"))).first()[0]
+
+
 def versions(feed):
     found = []
     for key, rows in by_key(feed).items():
