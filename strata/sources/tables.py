@@ -1,8 +1,9 @@
 """Catalog tables on plain Parquet: append, upsert, full refresh, additive schema evolution, clustered layout.
 
 Tables that batches are merged into carry one layout column, ``_part``. Rows with a key lie in a hash bucket of that
-key, so an upsert rewrites only the buckets its keys fall into. Rows without a key lie in a partition of their own
-writer and batch. Either way the partitions of a replayed batch are overwritten by the same content, so a replay adds
+key, and a bucket in runs of bounded size, each a partition of its own: new keys fill the bucket's last run and then begin
+others, by ranges of the key. An upsert looks its keys up among the keys of the buckets they fall into, and rewrites only
+the runs that hold one of them, and the last ones. Rows without a key lie in a partition of their own writer and batch. Either way the partitions of a replayed batch are overwritten by the same content, so a replay adds
 nothing. (Batch numbers belong to a stream's checkpoint: drop the table together with the checkpoint.)
 
 A batch writes its partitions to a folder of its own below the table and then points the table at them, one partition
@@ -26,7 +27,13 @@ from strata.operators import merge
 
 PART = "_part"
 BUCKETS_PROPERTY = "strata.buckets"
+BASE_PROPERTY = "strata.buckets.base"
+GROWING_PROPERTY = "strata.buckets.growing"
 DEFAULT_BUCKETS = 64
+# A layout value is a bucket, below this number, and as often this number as the bucket has runs before it.
+RUN = 1 << 20
+# Rows of a run. A run is written whole, so this bounds what an upsert rewrites for one key.
+RUN_ROWS = 1_000_000
 # Versions of a partition or of a refreshed table that are kept: the current one, and the one that readers who began
 # before the last write may still be reading.
 KEPT_VERSIONS = 2
@@ -92,25 +99,118 @@ def append_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: int,
 
 def upsert(spark: SparkSession, df: DataFrame, table: str, key: str, batch_id: int = 0,
            order_by: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS, writer: str = "",
-           cluster_by: Sequence[str] = ()) -> None:
+           cluster_by: Sequence[str] = (), ties: str = "source", run_rows: int = RUN_ROWS) -> None:
     """Merge a batch into a table by key (see :func:`strata.operators.merge.upsert`).
 
-    ``buckets`` counts when the table is created; choose it so that a bucket is some gigabytes at most. With
-    ``cluster_by`` each bucket's files hold ranges of those columns.
+    ``buckets`` counts when the table is created; :func:`grow` raises it later. With ``cluster_by`` each run's files hold
+    ranges of those columns.
     """
-    new = not exists(spark, table)
     ensure_merge_table(spark, df.withColumn(PART, F.lit(0).cast("long")), table, buckets)
-    buckets = bucket_count(spark, table)
-    df = df.withColumn(PART, part_of(key, batch_id, buckets, writer))
-    keyed, loose = df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
-    merged = merge.latest_per_key(keyed, key, order_by) if new else merge.upsert_keyed(
-        touched_rows(spark, table, keyed), keyed, key, order_by)
+    _finish_growth(spark, table, key)
+    loose = df.filter(F.col(key).isNull()).withColumn(PART, F.lit(batch_part(batch_id, writer)).cast("long"))
+    latest = merge.latest_per_key(df.filter(F.col(key).isNotNull()), key, order_by)
+    latest = latest.withColumn(PART, _bucket(key, *bucket_counts(spark, table)).cast("long"))
+    held = {int(p): (rows, hits) for p, rows, hits in _hits(spark, table, latest, key)}
+    arriving = {r[0]: r[1] for r in latest.groupBy(PART).count().collect()}
+    last: dict[int, int] = {}
+    for part, (_, hits) in held.items():
+        arriving[part % RUN] -= hits
+        last[part % RUN] = max(part, last.get(part % RUN, part))
+    # Of the buckets that get new keys: the last run, if these fit in.
+    room = {b: last[b] for b, n in arriving.items() if b in last and n and held[last[b]][0] + n <= run_rows}
+    rewritten = sorted({p for p, (_, hits) in held.items() if hits} | set(room.values()))
+    spark.catalog.refreshTable(table)
+    target = spark.read.table(table).filter(F.col(PART).isin(rewritten) if rewritten else F.lit(False))
+    stale = merge.later_rows(target, latest, key, order_by, ties)
+    if stale is not None:
+        latest = latest.join(stale, key, "left_anti")
+    carried = [c for c in target.columns if c not in (key, PART) and c not in df.columns]
+    at = target.select(key, F.col(PART).alias("_at"), *carried)
+    kept = target.join(latest.select(key), key, "left_anti")
+    open_runs = spark.createDataFrame([(b, p) for b, p in room.items()], f"{PART} long, _room long")
+    placed = latest.join(at, key, "left").join(open_runs, PART, "left").withColumn("_at", F.coalesce("_at", "_room"))
+    settled = placed.filter(F.col("_at").isNotNull()).withColumn(PART, F.col("_at"))
+    merged = merge.append_evolved(kept, settled.drop("_at", "_room"))
+    crowded = sum(n for b, n in arriving.items() if b not in room)
+    if crowded:
+        begun = placed.filter(F.col("_at").isNull()).repartitionByRange(max(1, -(-crowded // run_rows)), PART, key)
+        first = max(held, default=-1) // RUN + 1
+        begun = begun.withColumn(PART, F.col(PART) + (F.spark_partition_id().cast("long") + first) * RUN)
+        merged = merge.append_evolved(merged, begun.drop("_at", "_room"))
     merged = aligned(spark, merge.append_evolved(merged, loose), table)
-    # By bucket, so that each is written by few tasks; AQE joins small buckets and splits large ones.
+    # By run, so that each is written by few tasks; AQE joins small runs and splits large ones.
     merged = clustered(merged, [PART, *cluster_by]) if cluster_by else merged.hint("rebalance", F.col(PART))
     overwrite_parts(spark, merged, table)
 
 
+def _hits(spark: SparkSession, table: str, latest: DataFrame, key: str) -> list:
+    """Layout value, rows and touched rows of each run of the buckets that the keys fall into. Reads keys only."""
+    buckets = {row[0] for row in latest.select(PART).distinct().collect()}
+    parts = [p for p in _parts(spark, table) if p >= 0 and p % RUN in buckets]
+    if not parts:
+        return []
+    spark.catalog.refreshTable(table)
+    keys = spark.read.table(table).filter(F.col(PART).isin(parts)).select(F.col(PART).alias("_at"), key)
+    seen = keys.join(latest.select(key, F.lit(1).alias("_hit")), key, "left")
+    return seen.groupBy("_at").agg(F.count("*"), F.count("_hit")).collect()
+
+
+def _parts(spark: SparkSession, table: str) -> list[int]:
+    return [int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {_name(table)}").collect()]
+
+
+def _bucket(key: str, buckets: int, base: int) -> Column:
+    """Linear hashing: with ``base`` times a power of two buckets, some of them split already, an address is taken modulo
+    twice that number, and modulo the number itself where that bucket is not there yet."""
+    value = F.xxhash64(F.col(key).cast("string"))
+    whole = _level(buckets, base)
+    wide = F.pmod(value, F.lit(2 * whole))
+    return F.when(wide < buckets, wide).otherwise(F.pmod(value, F.lit(whole)))
+
+
+def _level(buckets: int, base: int) -> int:
+    while 2 * base <= buckets:
+        base *= 2
+    return base
+
+
+def grow(spark: SparkSession, table: str, key: str, buckets: int) -> None:
+    """Raise the number of buckets of a merge table: the buckets that the new ones split off from are divided, others
+    stay as they are. A driver lost amid it leaves a table that the next upsert, or another call, brings to its end;
+    until then rows of a divided bucket may show twice."""
+    _finish_growth(spark, table, key)
+    have, base = bucket_counts(spark, table)
+    if not have <= buckets < RUN:
+        raise ValueError(f"a table of {have} buckets cannot be brought to {buckets}")
+    spark.sql(f"ALTER TABLE {_name(table)} SET TBLPROPERTIES ('{BASE_PROPERTY}' = '{base}', "
+              f"'{GROWING_PROPERTY}' = '{buckets}')")
+    _finish_growth(spark, table, key)
+
+
+def _finish_growth(spark: SparkSession, table: str, key: str) -> None:
+    wanted = _properties(spark, table).get(GROWING_PROPERTY)
+    if wanted is None:
+        return
+    wanted, (have, base) = int(wanted), bucket_counts(spark, table)
+    divided = set()
+    for bucket in range(have, wanted):
+        divided.add(bucket)
+        while bucket >= have:
+            bucket -= _level(bucket, base)
+        divided.add(bucket)
+    parts = [p for p in _parts(spark, table) if p >= 0 and p % RUN in divided]
+    if parts:
+        spark.catalog.refreshTable(table)
+        rows = spark.read.table(table).filter(F.col(PART).isin(parts)).dropDuplicates([key])
+        run = F.col(PART) - F.pmod(PART, F.lit(RUN))
+        rows = rows.withColumn(PART, run + _bucket(key, wanted, base)).select(spark.table(table).columns)
+        written = overwrite_parts(spark, rows.hint("rebalance", F.col(PART)), table)
+        for part in sorted(set(parts) - written):
+            spark.sql(f"ALTER TABLE {_name(table)} DROP PARTITION ({PART}={part})")
+    spark.sql(f"ALTER TABLE {_name(table)} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{wanted}')")
+    spark.sql(f"ALTER TABLE {_name(table)} UNSET TBLPROPERTIES ('{GROWING_PROPERTY}')")
+
+
 def touched_rows(spark: SparkSession, table: str, batch: DataFrame) -> DataFrame:
     """The table's rows in the partitions that the rows of a batch fall into."""
     # At most `buckets` numbers: they prune the scan of the target to the partitions that change.
@@ -124,12 +224,6 @@ def batch_part(batch_id: int, writer: str = "") -> int:
     return -1 - batch_id - (zlib.crc32(writer.encode()) << 31)
 
 
-def part_of(key: str, batch_id: int, buckets: int, writer: str = "") -> Column:
-    """The layout value of a row: a hash bucket of its key, or its batch if it has no key."""
-    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets))
-    return F.when(F.col(key).isNull(), F.lit(batch_part(batch_id, writer))).otherwise(bucket).cast("long")
-
-
 def replace(spark: SparkSession, df: DataFrame, table: str, cluster_by: Sequence[str] = (),
             sort_by: str | Sequence[str] = (), location: str | None = None, interleave: bool = False) -> None:
     """Full refresh: write a new version beside the old one, then point the table at it.
@@ -184,7 +278,8 @@ RANK_SAMPLE = 10_000
 def _z_value(df: DataFrame, columns: Sequence[str]) -> Column:
     """Interleaved bits of each column's quantile rank (0 to 31).
 
-    Numbers and times are ranked by approximate quantiles, texts by the quantiles of a sample, compared as whole texts.
+    Numbers and times are ranked by approximate quantiles, texts by the quantiles of a sample. The bounds of texts are
+    beginnings of 1,000 characters, which whole texts are compared with; only the layout depends on them.
     """
     if RANK_BITS * len(columns) > 63:
         raise ValueError(f"at most {63 // RANK_BITS} columns can be interleaved")
@@ -198,7 +293,8 @@ def _z_value(df: DataFrame, columns: Sequence[str]) -> Column:
     bounds = {c: first[f"_{i}"] or [] for i, c in enumerate(columns)}
     if texts:
         share = min(1.0, RANK_SAMPLE / max(first["rows"], 1))
-        sample = df.select(*[F.substring(c, 1, 1000).alias(c) for c in texts]).sample(fraction=share, seed=5).limit(2 * RANK_SAMPLE).collect()
+        sample = df.select(*[F.substring(c, 1, 1000).alias(c) for c in texts]).sample(fraction=share, seed=5).limit(
+            2 * RANK_SAMPLE).collect()
         for c in texts:
             seen = sorted(row[c] for row in sample if row[c] is not None)
             bounds[c] = [seen[int(cut * len(seen))] for cut in cuts] if seen else []
@@ -283,13 +379,18 @@ def _default_location(spark: SparkSession, table: str) -> str:
     return f"{database.locationUri.rstrip('/')}/{short}"
 
 
-def _property(spark: SparkSession, table: str, key: str) -> str:
-    row = spark.sql(f"SHOW TBLPROPERTIES {_name(table)} ('{key}')").first()
-    return row["value"]
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {_name(table)}").collect()}
 
 
 def bucket_count(spark: SparkSession, table: str) -> int:
-    return int(_property(spark, table, BUCKETS_PROPERTY))
+    return bucket_counts(spark, table)[0]
+
+
+def bucket_counts(spark: SparkSession, table: str) -> tuple[int, int]:
+    """How many buckets a merge table has, and had when it was made."""
+    found = _properties(spark, table)
+    return int(found[BUCKETS_PROPERTY]), int(found.get(BASE_PROPERTY, found[BUCKETS_PROPERTY]))
 
 
 def ensure_merge_table(spark: SparkSession, df: DataFrame, table: str, buckets: int = DEFAULT_BUCKETS) -> None:
@@ -333,8 +434,11 @@ def _loses(given: DataType, wanted: DataType) -> bool:
     return a.startswith("timestamp") and b == "date"
 
 
-def overwrite_parts(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Replace the table's partitions that ``df`` (with the table's columns) has rows for; others stay untouched."""
+def overwrite_parts(spark: SparkSession, df: DataFrame, table: str) -> set[int]:
+    """Replace the table's partitions that ``df`` (with the table's columns) has rows for; others stay untouched.
+
+    Returns the layout values of the replaced ones.
+    """
     root = f"{_location(spark, table).rstrip('/')}/_batches"
     folder = f"{root}/{_stamp()}"
     df.write.partitionBy(PART).parquet(folder)
@@ -351,6 +455,7 @@ def overwrite_parts(spark: SparkSession, df: DataFrame, table: str) -> None:
     for part in parts:
         if part in known:
             _retire(spark, f"{root}/*/{part}")
+    return {int(row[0]) for row in written}
 
 
 def _stamp() -> str:

@@ -91,8 +91,9 @@ def store_batch(rows: DataFrame, batch_id: int, spec: SilverTable) -> dict[str,
         if spec.history:
             history_tables.merge(spark, valid, spec.target, buckets=spec.buckets, **spec.history)
         elif spec.merge_key:
+            # The stream cuts the batches, so no row may win by the batch it came in.
             tables.upsert(spark, valid, spec.target, spec.merge_key, batch_id, spec.order_by, spec.buckets,
-                          spec.name, spec.cluster_by)
+                          spec.name, spec.cluster_by, ties="greatest")
         else:
             tables.append_batch(spark, valid, spec.target, batch_id, spec.name, cluster_by=spec.cluster_by)
         if spec.metrics:

@@ -68,6 +68,45 @@ def test_replayed_batches_change_nothing_even_without_keys(spark):
     assert tables.batch_part(2**31 - 1, "x") > -(2**63) and tables.batch_part(0) == -1
 
 
+def test_an_upsert_rewrites_only_the_files_of_its_keys(spark):
+    # 100,000 keys that came in ten batches; 500 keys of one of them, and 50 new ones.
+    name = f"{scratch_schema(spark, 'runs')}.t"
+    for batch_id in range(10):
+        rows = spark.range(batch_id * 10_000, (batch_id + 1) * 10_000).selectExpr("id", "'a' AS v", "0 AS t")
+        tables.upsert(spark, rows, name, "id", batch_id, buckets=4, run_rows=1000)
+    before = _files(spark, name)
+    assert spark.table(name).groupBy("_part").count().agg(F.max("count")).first()[0] < 2000
+    changes = spark.range(30_000, 30_500).union(spark.range(100_000, 100_050)).selectExpr("id", "'b' AS v", "1 AS t")
+    tables.upsert(spark, changes, name, "id", 10, run_rows=1000)
+    after = _files(spark, name)
+    assert len(before) > 80 and len(before & after) > 0.8 * len(before)
+    found = tables.read(spark, name)
+    assert found.count() == 100_050 and found.filter("v = 'b'").count() == 550
+    assert found.select("id").distinct().count() == 100_050
+
+
+def test_growing_divides_only_the_buckets_that_split(spark, monkeypatch):
+    name = f"{scratch_schema(spark, 'grow')}.t"
+    rows = spark.range(400).selectExpr("id", "'a' AS v", "0 AS t")
+    tables.upsert(spark, rows, name, "id", 0, buckets=4, run_rows=60)
+    before = _files(spark, name)
+    tables.grow(spark, name, "id", 5)
+    assert tables.bucket_counts(spark, name) == (5, 4)
+    assert 0.5 * len(before) < len(before & _files(spark, name)) < len(before)
+    # A driver lost amid a growth: the next upsert brings it to its end.
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "overwrite_parts", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.grow(spark, name, "id", 11)
+    tables.upsert(spark, rows.filter("id % 2 = 0").union(spark.range(400, 450).selectExpr("id", "'a'", "0")), name, "id", 1)
+    assert tables.bucket_counts(spark, name) == (11, 4)
+    found = spark.table(name)
+    assert found.count() == 450 and found.select("id").distinct().count() == 450
+    assert found.filter(F.col("_part") % tables.RUN != tables._bucket("id", 11, 4)).count() == 0
+    with pytest.raises(ValueError, match="cannot be brought"):
+        tables.grow(spark, name, "id", 3)
+
+
 def test_tables_widen(spark):
     schema = scratch_schema(spark, "widen")
     tables.append(spark, frame(spark, (1, "a", 0)), f"{schema}.a")
