@@ -60,12 +60,14 @@ def automaton() -> ahocorasick.Automaton:
     for words, kind in ((NUMBER_CUES, "number"), (SECRET_CUES, "secret"), (AT_CUES, "spelled"),
                         (SCHEME_CUES, "scheme")):
         for w in words:
-            for form in {w, w.upper(), w.capitalize()}:
-                found.add_word(form, kind)
+            found.add_word(w.lower(), kind)
     found.make_automaton()
     return found
 
 
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
 def run_end(text: str, at: int, allowed: frozenset) -> int:
     n = len(text)
     while at < n and text[at] in allowed:
@@ -208,8 +210,9 @@ def login(text: str, start: int) -> tuple[tuple[int, int] | None, tuple[int, int
     return user if user[0] < user[1] else None, secret if 0 <= colon < at - 1 else None
 
 
-def mailboxes(text: str, start: int) -> list[tuple[int, int]]:
-    """Addresses behind ``mailto:``, commas between, that are no plain e-mail (``name%40host``, ``name@host``)."""
+def mailboxes(text: str, start: int) -> tuple[list[tuple[int, int]], int]:
+    """Addresses behind ``mailto:``, commas between, that are no plain e-mail (``name%40host``, ``name@host``); and where
+    they end."""
     end = start
     while end < len(text) and text[end] not in MAIL_END:
         end += 1
@@ -221,21 +224,24 @@ def mailboxes(text: str, start: int) -> list[tuple[int, int]]:
         if mark and name and host.strip(".") and not plain:
             found.append((start, start + len(part.rstrip("."))))
         start += len(part) + 1
-    return found
+    return found, end
 
 
-def secret_after(text: str, end: int) -> tuple[int, int] | None:
-    """A value of 8 or more characters with a digit that follows ``=`` or ``:`` and perhaps a quote."""
+def secret_after(text: str, end: int, walked: int) -> tuple[tuple[int, int] | None, int]:
+    """A value of 8 or more characters with a digit that follows ``=`` or ``:`` and perhaps a quote; and how far values
+    have been read. One that begins before ``walked`` is the end of one that was read already."""
     at = end
     while at < len(text) and text[at] in " \"'":
         at += 1
     if at >= len(text) or text[at] not in "=:":
-        return None
+        return None, walked
     at += 1
     while at < len(text) and text[at] in " \"'":
         at += 1
+    if at < walked:
+        return None, walked
     to = run_end(text, at, SECRET)
-    return (at, to) if to - at >= 8 and any(c in DIGITS for c in text[at:to]) else None
+    return (at, to) if to - at >= 8 and any(c in DIGITS for c in text[at:to]) else None, to
 
 
 def spelled(text: str, start: int, end: int) -> tuple[int, int] | None:
@@ -257,8 +263,11 @@ def spans(text: str | None, cues: ahocorasick.Automaton) -> dict[str, list[tuple
     if not text:
         return found
     past = dict.fromkeys(KINDS, 0)  # where each kind's last match ended, failed checks included
-    in_digits = 0
-    for last, cue in cues.iter(text):
+    in_digits = walked = mailed = 0
+    lower = text.lower()
+    if len(lower) != len(text):
+        lower = text.translate(LOWER)
+    for last, cue in cues.iter(lower):
         if cue == "digit":
             if last < in_digits and last < past["card"]:
                 continue
@@ -289,16 +298,21 @@ def spans(text: str | None, cues: ahocorasick.Automaton) -> dict[str, list[tuple
         elif cue == "scheme":
             if text[last] == "/":
                 hits = zip(("account", "secret"), login(text, last + 1), strict=True)
+            elif last + 1 < mailed:
+                continue  # inside the addresses just read
             else:
-                hits = [("contact", hit) for hit in mailboxes(text, last + 1)]
+                read, mailed = mailboxes(text, last + 1)
+                hits = [("contact", hit) for hit in read]
             for kind, hit in hits:
                 if hit and hit[1] > past[kind]:
                     found[kind].append((max(hit[0], past[kind]), hit[1]))
                     past[kind] = hit[1]
         else:
             kind = {"number": "account", "secret": "secret", "spelled": "contact"}[cue]
-            hit = (number_after(text, last + 1) if cue == "number" else secret_after(text, last + 1)
-                   if cue == "secret" else spelled(text, last - 3, last + 1))
+            if cue == "secret":
+                hit, walked = secret_after(text, last + 1, walked)
+            else:
+                hit = number_after(text, last + 1) if cue == "number" else spelled(text, last - 3, last + 1)
             if hit and hit[0] >= past[kind]:
                 found[kind].append(hit)
                 past[kind] = hit[1]
@@ -312,20 +326,22 @@ def _country(text: str, digit: int) -> bool:
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``spans`` (kind:start:end, by kind and start, comma-joined), a count per base kind and ``base_sha256``."""
+    """Add ``spans`` (kind:start:end, by kind and start, comma-joined), their number, a count per base kind and ``base_sha256``."""
     local: dict[str, ahocorasick.Automaton] = {}
 
     def run(column: pa.Array) -> list:
         cues = local.setdefault("cues", automaton()) if "cues" not in local else local["cues"]
         counts = np.zeros((len(BASE), len(column)), np.int64)
-        base, everything = [], []
+        base, everything, total = [], [], []
         for row, value in enumerate(column):
             hits = spans(value.as_py(), cues)
             written = {k: [f"{k}:{s}:{e}" for s, e in hits[k]] for k in KINDS}
             counts[:, row] = [len(hits[k]) for k in BASE]
             base.append(hashlib.sha256(",".join(x for k in BASE for x in written[k]).encode()).hexdigest())
+            total.append(sum(map(len, hits.values())))
             everything.append(",".join(x for k in KINDS for x in written[k]))
-        return [*counts, base, everything]
+        return [*counts, base, everything, total]
 
-    added = [*(field(f"n_{k}", "bigint") for k in BASE), field("base_sha256", "string"), field("spans", "string")]
+    added = [*(field(f"n_{k}", "bigint") for k in BASE), field("base_sha256", "string"), field("spans", "string"),
+             field("n_spans", "bigint")]
     return with_columns(docs, added, run, text)

@@ -71,7 +71,7 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    return pii.find(docs).select("doc_id", *(f"n_{k}" for k in pii.BASE), "base_sha256", "spans")
+    return pii.find(docs).select("doc_id", *(f"n_{k}" for k in pii.BASE), "base_sha256", "spans", "n_spans")
 
 
 def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
