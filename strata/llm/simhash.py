@@ -35,6 +35,7 @@ SHINGLE = 3
 DISTANCE = 3
 SEED = 42
 GROUP = 2048
+ROWS = 256  # texts that a worker has in Python at a time
 GOLAY = 0b101011100011  # generator polynomial x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 HAMMING = 0b1011
 
@@ -61,8 +62,8 @@ def fingerprint(text: str | None, n: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", output: str = "fp", shingle: int = SHINGLE) -> DataFrame:
     """Add the fingerprint as a signed 64-bit column. One map over the documents, no shuffle."""
     def run(column: pa.Array) -> list:
-        found = np.array([fingerprint(t, shingle) for t in column.to_pylist()], np.uint64)
-        return [found.view(np.int64)]
+        found = [fingerprint(t, shingle) for k in range(0, len(column), ROWS) for t in column.slice(k, ROWS).to_pylist()]
+        return [np.array(found, np.uint64).view(np.int64)]
 
     return with_columns(docs, [field(output, "bigint")], run, text)
 

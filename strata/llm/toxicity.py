@@ -33,6 +33,8 @@ BITS = 20
 SAMPLE_ROWS = 12000
 THRESHOLD = 0.3
 STEMS = (4, 5, 6)
+# Bytes of text that features are made of at a time: a worker holds some hundred times as much in hashes and tables.
+SLICE = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -130,7 +132,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", order: Co
 
     def extract(column: pa.Array) -> list:
         lists: list[np.ndarray] = []
-        for part in slices(column):
+        for part in slices(column, SLICE):
             docs, slots = features(part, bits)
             lists += np.split(slots, np.searchsorted(docs, np.arange(1, part.n)))
         return [pa.array([x.astype(np.int32) for x in lists], pa.list_(pa.int32()))]
@@ -164,7 +166,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", output: str = "scor
             cache["w"] = Model(*shared.value).dense()
             cache["wanted"] = cache["w"] != 0
         found = [np.zeros(0)]
-        for part in slices(column):
+        for part in slices(column, SLICE):
             of, slots = features(part, shared.value[2], cache["wanted"])
             sums = np.bincount(of, cache["w"][slots], minlength=part.n)
             found.append(1 / (1 + np.exp(-np.clip(sums, -35, 35))))
