@@ -17,7 +17,7 @@ scores; rows that agree in id, text and label teach once; other columns pass thr
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -95,7 +95,28 @@ class Model:
         return out
 
 
-def ftrl(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, rates: Rates = Rates()) -> Model:
+def pack(slots: np.ndarray) -> bytes:
+    """Ascending slots as their differences, of two bytes each where all fit."""
+    gaps = np.diff(slots, prepend=0)
+    small = gaps.max(initial=0) < 1 << 16
+    return (b"\2" if small else b"\4") + gaps.astype(np.uint16 if small else np.uint32).tobytes()
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(packed, np.uint16 if packed[0] == 2 else np.uint32, offset=1), dtype=np.int64)
+
+
+class Packed:
+    """Feature lists that are unpacked one at a time, each time they are gone through."""
+
+    def __init__(self, lists: list[bytes]):
+        self.lists = lists
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        return map(unpack, self.lists)
+
+
+def ftrl(rows: Iterable[np.ndarray], labels: np.ndarray, bits: int = BITS, rates: Rates = Rates()) -> Model:
     """FTRL-proximal over sparse binary features, in the order given."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     root = lambda x: (rates.beta + np.sqrt(x)) / rates.alpha + rates.l2
@@ -131,27 +152,27 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", order: Co
         rows = rows.filter(F.pmod("at", F.lit(1 << 30)) < int((1 << 30) * sample_rows / total))
 
     def extract(column: pa.Array) -> list:
-        lists: list[np.ndarray] = []
+        lists: list[bytes] = []
         for part in slices(column, SLICE):
             docs, slots = features(part, bits)
-            lists += np.split(slots, np.searchsorted(docs, np.arange(1, part.n)))
-        return [pa.array([x.astype(np.int32) for x in lists], pa.list_(pa.int32()))]
+            lists += map(pack, np.split(slots, np.searchsorted(docs, np.arange(1, part.n))))
+        return [pa.array(lists, pa.binary())]
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frames = [b.to_pandas() for b in batches]
         seen = pd.concat(frames) if frames else pd.DataFrame({"at": [], "label": [], "slots": []})
-        seen = seen.assign(size=seen.slots.map(len)).sort_values(["at", "size", "label"])
+        seen = seen.assign(size=seen.slots.map(lambda x: (len(x) - 1) // x[0])).sort_values(["at", "size", "label"])
         y = seen.label.to_numpy(float)
         if len(set(y)) < 2:
             rate = (y.sum() + 1) / (len(y) + 2)
             model = Model(np.array([0]), np.array([np.log(rate / (1 - rate))]), bits)
         else:
-            model = ftrl(list(seen.slots), y, bits, rates)
+            model = ftrl(Packed(list(seen.slots)), y, bits, rates)
         yield pa.RecordBatch.from_arrays([pa.array(model.slots.astype(np.int64)), pa.array(model.weights)],
                                          ["slot", "weight"])
 
     rows = rows.dropDuplicates(["at", "label"])
-    lists = with_columns(rows, [field("slots", "array<int>")], extract, keep_text=False).select("at", "label", "slots")
+    lists = with_columns(rows, [field("slots", "binary")], extract, keep_text=False).select("at", "label", "slots")
     found = lists.repartition(1).mapInArrow(learn, "slot long, weight double").toPandas()
     return Model(found.slot.to_numpy(np.int64), found.weight.to_numpy(float), bits)
 

@@ -144,3 +144,43 @@ def test_halves_name_sequences():
         for d, name in enumerate(tries.halves(turns), 1):
             assert names.setdefault(name, turns[:d]) == turns[:d]
     assert len(names) == len({tuple(v) for v in names.values()})
+
+
+# --- toxicity -----------------------------------------------------------------------------------------------------------
+
+def test_learning_and_scoring_agree_with_plain_dictionaries():
+    import math
+
+    import pyarrow as pa
+
+    from strata.llm import toxicity
+    from strata.llm.text import slices
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(["good", "Words", "hére", "vile", "more"], k=rng.randrange(0, 30))) for _ in range(150)]
+    labels = np.array([float("vile" in t) for t in texts])
+    rows = []
+    for part in slices(pa.array(texts), 500):
+        docs, slots = toxicity.features(part, 12)
+        rows += np.split(slots, np.searchsorted(docs, np.arange(1, part.n)))
+    assert all((toxicity.unpack(toxicity.pack(r)) == r).all() for r in [*rows, np.array([0, 70000, 1 << 19])])
+    rates = toxicity.Rates(l1=0.3)
+    z, n = {}, {}
+    weight = lambda i: 0.0 if abs(z.get(i, 0.0)) <= rates.l1 else (
+        math.copysign(rates.l1, z[i]) - z[i]) / ((rates.beta + math.sqrt(n[i])) / rates.alpha + rates.l2)
+    for _ in range(rates.passes):
+        for row, y in zip(rows, labels, strict=True):
+            w = {int(i): weight(int(i)) for i in row}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i, v in w.items():
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / rates.alpha
+                z[i] = z.get(i, 0.0) + g - sigma * v
+                n[i] = n.get(i, 0.0) + g * g
+    model = toxicity.ftrl(toxicity.Packed([toxicity.pack(r) for r in rows]), labels, 12, rates)
+    expected = {i: weight(i) for i in z if weight(i)}
+    assert dict(zip(model.slots.tolist(), model.weights.tolist(), strict=True)) == pytest.approx(expected)
+    # Slots of weight zero left out or not, the sums are the same.
+    dense = model.dense()
+    for part in slices(pa.array(texts), 500):
+        sums = [np.bincount(d, dense[s], minlength=part.n) for d, s in (
+            toxicity.features(part, 12), toxicity.features(part, 12, dense != 0))]
+        assert sums[0] == pytest.approx(sums[1])
