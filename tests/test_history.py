@@ -152,3 +152,80 @@ def test_a_stored_history_equals_the_full_rebuild(spark):
     found = tables.read(spark, name)
     full = history.scd2(typed(rows), ["k"], ["s"], ["ts", "n"]).select(found.columns)
     assert sorted(map(str, found.collect())) == sorted(map(str, full.collect()))
+
+
+def _typed(spark, rows):
+    schema = "k STRING, s STRING, ts STRING, n INT"
+    return spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_late_changes_in_any_order_give_the_full_rebuild(spark, seed):
+    from strata.queries.inputs import scratch_schema
+    from strata.sources import history_tables, tables
+    rng = random.Random(seed)
+    rows = [(rng.choice(["a", "a", "b", None]), rng.choice(["x", "y", None]),
+             f"2024-{rng.randint(1, 12):02}-{rng.randint(1, 3):02} 00:00:00", i) for i in range(72)]
+    rng.shuffle(rows)
+    name = f"{scratch_schema(spark, 'late')}.h"
+    for k in range(0, 72, 24):
+        history_tables.merge(spark, _typed(spark, rows[k:k + 24]), name, ["k"], ["s"], ["ts", "n"], buckets=2)
+        found = tables.read(spark, name)
+        full = history.scd2(_typed(spark, rows[:k + 24]), ["k"], ["s"], ["ts", "n"]).select(found.columns)
+        assert sorted(map(str, found.collect())) == sorted(map(str, full.collect()))
+    assert tables.read(spark, history_tables.changes_of(name)).count() == 72
+
+
+def test_a_late_change_reads_and_writes_its_neighbourhood_only(spark, monkeypatch):
+    from strata.queries.inputs import scratch_schema
+    from strata.sources import history_tables, tables
+    rows = [(k, "xy"[i // 5 % 2], str(BASE + datetime.timedelta(days=i)), i) for k in "abcd" for i in range(400)]
+    name = f"{scratch_schema(spark, 'near')}.h"
+    history_tables.merge(spark, _typed(spark, rows), name, ["k"], ["s"], ["ts", "n"], buckets=2)
+    files = lambda: {r[0] for r in spark.read.table(name).select("_metadata.file_path").distinct().collect()}
+    before = files()
+    read = []
+    plain = history_tables.segment_changes
+
+    def counted(*args):
+        read.append(plain(*args))
+        return read[-1]
+
+    monkeypatch.setattr(history_tables, "segment_changes", counted)
+    late = [("a", "z", str(BASE + datetime.timedelta(days=102, hours=5)), 1000)]
+    history_tables.merge(spark, _typed(spark, late), name, ["k"], ["s"], ["ts", "n"])
+    assert read[0].count() == 11     # the five changes of either neighbour, and the late one
+    after = files()
+    assert len(before - after) <= 2 < len(before & after)
+    found = tables.read(spark, name)
+    full = history.scd2(_typed(spark, rows + late), ["k"], ["s"], ["ts", "n"]).select(found.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, full.collect()))
+    history_tables.merge(spark, _typed(spark, late), name, ["k"], ["s"], ["ts", "n"])
+    assert len(read) == 1 and files() == after     # a replay finds nothing new
+
+
+def test_a_history_half_written_is_completed_by_the_replay(spark, monkeypatch):
+    from strata.queries.inputs import scratch_schema
+    from strata.sources import history_tables, tables
+    rows = [("a", "xy"[i // 40 % 2], str(BASE + datetime.timedelta(days=i)), i) for i in range(400)]
+    # One interrupts a version, one brings two together across slices.
+    late = [("a", "z", str(BASE + datetime.timedelta(days=50, hours=5)), 1000),
+            ("a", "y", str(BASE + datetime.timedelta(days=119, hours=5)), 1001)]
+    full = history.scd2(_typed(spark, rows + late), ["k"], ["s"], ["ts", "n"])
+    plain = tables.overwrite_parts
+    for lost in (lambda r: F.col("_part") < r, lambda r: F.col("_part") >= r):
+        name = f"{scratch_schema(spark, 'half')}.h"
+        history_tables.merge(spark, _typed(spark, rows), name, ["k"], ["s"], ["ts", "n"], buckets=1)
+
+        def half(session, df, table):
+            parts = sorted(r[0] for r in df.select("_part").distinct().collect())
+            plain(session, df.filter(lost(parts[len(parts) // 2])), table)
+            raise RuntimeError("lost")
+
+        monkeypatch.setattr(tables, "overwrite_parts", half)
+        with pytest.raises(RuntimeError):
+            history_tables.merge(spark, _typed(spark, late), name, ["k"], ["s"], ["ts", "n"])
+        monkeypatch.setattr(tables, "overwrite_parts", plain)
+        history_tables.merge(spark, _typed(spark, late), name, ["k"], ["s"], ["ts", "n"])
+        found = tables.read(spark, name)
+        assert sorted(map(str, found.collect())) == sorted(map(str, full.select(found.columns).collect()))
