@@ -9,21 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from strata.operators import skew
+
 _SIMPLE_AGGREGATE = re.compile(r"\s*(sum|count|avg|min|max)\s*\(\s*([A-Za-z_]\w*)\s*\)\s*", re.IGNORECASE)
 
 
 def join(left: DataFrame, right: DataFrame, on: str, how: str = "inner", skewed: bool = False) -> DataFrame:
     """Equi-join on one column named alike on both sides; of other shared columns the left one stays.
 
-    AQE splits a hot key on either side of an inner join, but only on the left side of a left join. With ``skewed``
-    a left join is built from an inner join and the left rows without a match, so that a hot right side splits too.
+    AQE splits a hot key on either side of an inner join, but only on the preserved side of the others, and never where
+    both sides are sorted already. With ``skewed`` the hot keys of a join of any type are spread (see
+    :mod:`strata.operators.skew`), which reads the key columns once more beforehand.
     """
     right = right.drop(*[c for c in right.columns if c in left.columns and c != on])
-    if not (skewed and how.lower().replace("_", "") in ("left", "leftouter")):
-        return left.join(right, on, how)
-    keys = right.select(on).distinct()
-    unmatched = left.join(keys, on, "left_anti")
-    return left.join(right, on, "inner").unionByName(unmatched, allowMissingColumns=True)
+    return skew.join(left, right, on, how) if skewed else left.join(right, on, how)
 
 
 def join_tables(df: DataFrame, joins: Sequence[Mapping], read: Callable[[str], DataFrame],
