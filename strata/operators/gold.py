@@ -55,8 +55,7 @@ def join_aggregate(left: DataFrame, right: DataFrame, on: str, how: str, group_b
     shuffle; and since the final grouping contains the join key's partitioning, it needs no shuffle of its own when
     the key is grouped on.
     """
-    plain = join(left, right, on, how, skewed)
-    naive = aggregate(plain, group_by, aggregations)
+    naive = aggregate(join(left, right, on, how), group_by, aggregations)
     parsed = {alias: _SIMPLE_AGGREGATE.fullmatch(text) for alias, text in aggregations.items()}
     right_only = set(right.columns) - set(left.columns)
     eager = (how.lower().replace("_", "") in ("inner", "left", "leftouter")
@@ -66,7 +65,7 @@ def join_aggregate(left: DataFrame, right: DataFrame, on: str, how: str, group_b
              and not any(m.group(1).lower() == "avg" and isinstance(t := right.schema[m.group(2)].dataType, DecimalType)
                          and t.scale > 2 for m in parsed.values()))
     if not eager:
-        return naive
+        return aggregate(join(left, right, on, how, skewed), group_by, aggregations) if skewed else naive
     partial, final = {}, []
     for alias, match in parsed.items():
         kind, column = match.group(1).lower(), match.group(2)

@@ -1,0 +1,73 @@
+"""Columns that grow wider between appends."""
+
+import datetime
+import decimal
+
+import pytest
+from hypothesis import given, strategies as st
+from pyspark.sql import types as T
+
+from strata.queries.inputs import scratch_schema
+from strata.sources import widening
+from strata.sources.widening import widest
+
+ATOMS = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType(), T.DateType(),
+         T.TimestampNTZType(), T.TimestampType(), T.StringType(), T.DecimalType(5, 2), T.DecimalType(38, 0),
+         T.DecimalType(20, 18), T.NullType(), T.BooleanType()]
+KINDS = st.recursive(st.sampled_from(ATOMS), lambda inner: st.one_of(
+    inner.map(T.ArrayType), st.lists(inner, min_size=1, max_size=2).map(
+        lambda ks: T.StructType([T.StructField(f"f{i}", k) for i, k in enumerate(ks)]))), max_leaves=4)
+
+
+@given(KINDS, KINDS)
+def test_the_least_type_is_one_for_both_orders(a, b):
+    text = lambda t: t and sorted(t.simpleString())  # noqa: E731  (fields of structs keep the order of the first)
+    assert widest(a, a) == a
+    assert text(widest(a, b)) == text(widest(b, a))
+    if (top := widest(a, b)) is not None:
+        assert text(widest(top, b)) == text(top) == text(widest(a, top))
+
+
+def test_int_then_bigint_then_double(spark):
+    name = f"{scratch_schema(spark, 'wide')}.t"
+    for kind, value in (("INT", 1), ("BIGINT", 1 << 40), ("TINYINT", 7), ("DOUBLE", 2.5), ("BIGINT", 1 << 53)):
+        widening.append(spark, spark.createDataFrame([(value,), (None,)], f"v {kind}"), name)
+    found = widening.read(spark, name)
+    assert found.schema.simpleString() == "struct<v:double>"
+    assert sorted((r.v for r in found.collect()), key=str) == sorted([1.0, 2.0 ** 40, 7.0, 2.5, 2.0 ** 53] + [None] * 5, key=str)
+    # A filter reaches the scan of each generation.
+    plan = found.filter("v > 5")._jdf.queryExecution().executedPlan().toString()
+    assert widening.generations(spark, name) == [f"{name}__g{i}" for i in range(3)]
+    assert plan.count("PushedFilters: [IsNotNull(v)") == 3, plan
+
+
+def test_values_are_never_rounded(spark):
+    name = f"{scratch_schema(spark, 'exact')}.t"
+    widening.append(spark, spark.createDataFrame([((1 << 53) + 1,)], "v BIGINT"), name)
+    with pytest.raises(Exception, match="no exact DOUBLE"):
+        widening.append(spark, spark.createDataFrame([(0.5,)], "v DOUBLE"), name)
+    assert widening.generations(spark, name) == [f"{name}__g0"]
+    assert [r.v for r in widening.read(spark, name).collect()] == [(1 << 53) + 1]
+    other = f"{scratch_schema(spark, 'exact')}.t"
+    widening.append(spark, spark.createDataFrame([(0.5,)], "v DOUBLE"), other)
+    with pytest.raises(Exception, match="no exact DOUBLE"):
+        widening.append(spark, spark.createDataFrame([((1 << 63) - 1,)], "v BIGINT"), other)
+    with pytest.raises(ValueError, match="no type holds"):
+        widening.append(spark, spark.createDataFrame([("x",)], "v STRING"), other)
+    assert [r.v for r in widening.read(spark, other).collect()] == [0.5]
+
+
+def test_nested_columns_and_new_ones(spark):
+    name = f"{scratch_schema(spark, 'nested')}.t"
+    one = spark.createDataFrame([((1, "a"), [1], {1: 2}, datetime.date(2024, 1, 2)), (None, None, None, None)],
+                                "s STRUCT<x INT, y STRING>, a ARRAY<INT>, m MAP<INT, INT>, d DATE")
+    two = spark.createDataFrame([((1 << 40, True), [1 << 40], {3: decimal.Decimal("0.5")}, "n")],
+                                "S STRUCT<X BIGINT, z BOOLEAN>, a ARRAY<BIGINT>, m MAP<INT, DECIMAL(3, 1)>, n STRING")
+    for batch in (one, two, one):
+        widening.append(spark, batch, name)
+    rows = sorted(map(str, (r.asDict(True) for r in widening.read(spark, name).collect())))
+    first = {"s": {"x": 1, "y": "a", "z": None}, "a": [1], "m": {1: decimal.Decimal("2.0")},
+             "d": datetime.date(2024, 1, 2), "n": None}
+    none = dict.fromkeys(first)
+    other = {"s": {"x": 1 << 40, "y": None, "z": True}, "a": [1 << 40], "m": {3: decimal.Decimal("0.5")}, "d": None, "n": "n"}
+    assert rows == sorted(map(str, (first, first, none, none, other)))
