@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from strata.functions.audit import with_audit
 from strata.functions.types import conform
-from strata.operators import quality
-from strata.queries.inputs import FAULTY, TX_SCHEMA, faulty, table
+from strata.operators import freshness, quality
+from strata.queries.inputs import FAULTY, TX_SCHEMA, faulty, scratch_schema, table
+from strata.sources import tables
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
 RULES = {**quality.transaction_rules(REGIONS, now="'2001-01-01 00:00:00'"), "typed_amount": "amount IS NOT NULL"}
@@ -94,6 +95,41 @@ def _batch_counts(spark, folder):
     return quality.apply_rules(_typed(spark, folder), RULES).agg(*quality.batch_metrics())
 
 
+def _lags(spark, folder):
+    """A line arrives as many seconds after it was shipped as its price has units."""
+    seconds = F.floor("l_extendedprice").cast("long")
+    return table(spark, folder, "lineitem").select(
+        "l_returnflag", "l_linenumber", "l_shipdate", (F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(
+            F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18, 6)"))).alias("arrived"), (seconds * 1000).alias("lag"))
+
+
+def _freshness(spark, folder):
+    # Seven batches leave their sketches in a table; its rows are merged, and the quantiles are held against the exact ranks.
+    lags, name = _lags(spark, folder), f"{scratch_schema(spark, 'fresh')}.lags"
+    for batch in range(1, 8):
+        part = lags.filter(F.col("l_linenumber") == batch)
+        tables.append_batch(spark, freshness.sketch_lags(part, "l_shipdate", "arrived", ["l_returnflag"]), name, batch)
+    found = freshness.quantiles(tables.read(spark, name), ["l_returnflag"])
+    limits = found.groupBy("l_returnflag").agg(*[
+        F.max(F.when(F.col("rank") == r, F.col("lag"))).alias(f"q{i}") for i, r in enumerate(freshness.RANKS)])
+    exact = lags.join(limits, "l_returnflag").groupBy("l_returnflag").agg(
+        *[F.struct(F.avg((F.col("lag") < F.col(f"q{i}")).cast("int")).alias("below"),
+                   F.avg((F.col("lag") <= F.col(f"q{i}")).cast("int")).alias("upto")).alias(f"e{i}")
+          for i in range(len(freshness.RANKS))])
+    ranks = F.explode(F.array(*[F.struct(F.lit(r).alias("rank"), F.col(f"e{i}.below").alias("below"),
+                                         F.col(f"e{i}.upto").alias("upto")) for i, r in enumerate(freshness.RANKS)]))
+    ranks = exact.select("l_returnflag", ranks.alias("e")).select("l_returnflag", "e.*")
+    close = (F.col("below") <= F.col("rank") + 0.02) & (F.col("upto") >= F.col("rank") - 0.02)
+    return found.join(ranks, ["l_returnflag", "rank"]).select(
+        "l_returnflag", "rank", F.col("rows").alias("n"), "least", "greatest", "latest_event", close.alias("close"))
+
+
+FRESHNESS_SQL = """
+    SELECT l_returnflag, rank, count(*) AS n, min(1000 * CAST(floor(l_extendedprice) AS BIGINT)) AS least,
+           max(1000 * CAST(floor(l_extendedprice) AS BIGINT)) AS greatest, max(l_shipdate) AS latest_event, true AS close
+    FROM lineitem, (SELECT unnest([0.5, 0.95, 0.99])::DOUBLE AS rank) GROUP BY l_returnflag, rank"""
+
+
 def _audit(spark, folder):
     return with_audit(table(spark, folder, "orders"), "nightly", "local", "tester", "2024-01-01 00:00:00")
 
@@ -108,6 +144,7 @@ QUERIES = {
     "quality_batch_counts": (_batch_counts, f"""
         SELECT count(*) FILTER ({_ALL}) AS valid_rows, count(*) FILTER (NOT ({_ALL})) AS quarantined_rows
         FROM ({_CHECKED})"""),
+    "freshness_quantiles": (_freshness, FRESHNESS_SQL),
     "audit_columns": (_audit, """
         SELECT *, 'nightly' AS _pipeline_run_id, '2024-01-01 00:00:00' AS _processed_at, 'local' AS _run_mode,
                'tester' AS _user

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.plans import manifest
+from strata.plans import audit, manifest
 from strata.queries.inputs import (
-    AVERAGE, CUSTOMERS, FAULTY, TRANSACTIONS, TX_SCHEMA, as_double, customers, faulty, scratch_schema, transactions)
+    AVERAGE, CUSTOMERS, FAULTY, TRANSACTIONS, TX_SCHEMA, as_double, customers, faulty, scratch_schema, table,
+    transactions)
 from strata.session import shared_dir
 from strata.sources import files, tables
 
@@ -124,7 +125,46 @@ MANIFEST_CHURN_SQL = f"""
     WHERE support_tickets < 9
     GROUP BY ALL"""
 
+
+def _source_guard(spark, folder):
+    # An optional entry whose source is absent is skipped and the others run; one that is not optional stops the run.
+    base, schema = shared_dir(spark, "guard"), scratch_schema(spark, "guard")
+    table(spark, folder, "orders").write.saveAsTable(f"{schema}.orders")
+    present = {"name": "by_status", "type": "gold", "source_table": f"{schema}.orders",
+               "target_table": f"{schema}.by_status", "group_by": ["o_orderstatus"],
+               "aggregations": {"n": "count(o_orderkey)"}}
+    absent = {**present, "name": "absent", "source_table": f"{schema}.absent", "target_table": f"{schema}.none"}
+    settings = {"settings": {"run_mode": "local"}}
+    manifest.run(spark, {**settings, "tables": [{**absent, "optional": True}, present]}, base)
+    try:
+        manifest.run(spark, {**settings, "tables": [absent]}, base)
+        refused = False
+    except ValueError:
+        refused = True
+    return tables.read(spark, f"{schema}.by_status").withColumns({
+        "refused": F.lit(refused), "skipped": F.lit(not tables.exists(spark, f"{schema}.none"))})
+
+
+def _path_report(spark, folder):
+    # Folders of Parquet in place of tables: orders by status, and customers without the names of their files.
+    base = shared_dir(spark, "paths")
+    table(spark, folder, "orders").withColumn("source_file", F.concat(F.lit("orders-"), "o_orderstatus")).write.parquet(
+        f"{base}/orders")
+    table(spark, folder, "customer").write.parquet(f"{base}/customers")
+    report = audit.layer_report(spark, [("bronze", f"{base}/orders"), ("gold", f"{base}/customers")])
+    return report.select("layer", F.element_at(F.split("table", "/"), -1).alias("table"), "rows", "files", "valid",
+                         "quarantined")
+
+
+PATH_REPORT_SQL = """
+    SELECT 'bronze' AS layer, 'orders' AS "table", count(*) AS rows, count(DISTINCT o_orderstatus) AS files,
+           NULL AS valid, NULL AS quarantined FROM orders
+    UNION ALL SELECT 'gold', 'customers', count(*), NULL, NULL, NULL FROM customer"""
+
 QUERIES = {
+    "source_guard": (_source_guard, """
+        SELECT o_orderstatus, count(*) AS n, true AS refused, true AS skipped FROM orders GROUP BY o_orderstatus"""),
+    "path_report": (_path_report, PATH_REPORT_SQL),
     "manifest_run": (_manifest_run, MANIFEST_SQL),
     "manifest_churn": (_manifest_churn, MANIFEST_CHURN_SQL),
     "layer_report": (_layer_report, REPORT_SQL),
