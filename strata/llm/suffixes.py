@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import stored
-from strata.llm.frames import col, field, with_columns
+from strata.llm.frames import col, field, unused, with_columns
 from strata.llm.text import Hasher, mix, slices
 
 LENGTH = 200
@@ -312,7 +312,9 @@ def repeated_starts(docs: DataFrame, text: str = "text", length: int = LENGTH, g
                 columns.append(pa.array([data[r["start"]:r["start"] + r["count"] - 1 + length] for r in rows]))
                 yield pa.RecordBatch.from_arrays(columns, ["h", "ph", "n", "off", "count", "m", "bytes"])
 
-    texts = _keyed(docs, text).join(wanted, ["k1", "k2"]).select("text", "pieces")
+    # Copies of a text are one before they meet their pieces, already where they are read.
+    texts = _keyed(docs, text).groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    texts = texts.join(wanted, ["k1", "k2"]).select("text", "pieces")
     collections = texts.mapInArrow(cut, "h long, ph long, n long, off int, count int, m long, bytes binary")
     if not different.filter(F.col("m") > group).isEmpty():
         collections = stored(collections, "collections")
@@ -327,9 +329,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     """Add ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``: the bytes left when repeated strings are cut out."""
     found = repeated_starts(docs, text, length, gram, group)
     value = F.coalesce(col(text), F.lit(""))
-    rows = docs.withColumns({"_k1": F.xxhash64(value), "_k2": F.xxhash64(F.lit(7), value)})
-    rows = rows.join(found, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left")
-    packed = rows.select(*map(col, docs.columns), F.struct(value.alias("text"), "starts").alias("_packed"))
+    # Names that no column of the documents has.
+    k1, k2, f1, f2, starts, packed_name = (unused(docs, n) for n in ("_k1", "_k2", "_f1", "_f2", "_starts", "_packed"))
+    rows = docs.withColumns({k1: F.xxhash64(value), k2: F.xxhash64(F.lit(7), value)})
+    found = found.select(F.col("k1").alias(f1), F.col("k2").alias(f2), F.col("starts").alias(starts))
+    rows = rows.join(found, (F.col(k1) == F.col(f1)) & (F.col(k2) == F.col(f2)), "left")
+    packed = rows.select(*map(col, docs.columns), F.struct(
+        value.alias("text"), F.col(starts).alias("starts")).alias(packed_name))
 
     def cut(column: pa.Array) -> list:
         size, gone, spans, kept = [], [], [], []
@@ -348,4 +354,4 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
         return [size, gone, spans, pa.array(kept, pa.binary())]
 
     added = [*(field(c, "bigint") for c in ("n_bytes", "n_removed", "n_spans")), field("kept", "binary")]
-    return with_columns(packed, added, cut, "_packed").drop("_packed")
+    return with_columns(packed, added, cut, packed_name).drop(packed_name)

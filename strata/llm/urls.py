@@ -6,7 +6,8 @@
    others' by a two-proportion test are merged into ``*``. An unlabelled child joins them if it resembles the labelled
    ones (segments below it, urls); the other unlabelled ones are merged among themselves (as ``+``).
 3. A template is rejected if its share of blocked urls is high, smoothed towards its parent's, and so on up to the host's
-   and the share of all labelled urls. So a branch without labels is judged by the nearest branches that have some.
+   and a neutral prior. So a branch without labels is judged by the nearest branches that have some, and a host without
+   any is allowed, however many urls elsewhere are blocked.
 
 Urls are aggregated to forms before anything is compared, so hosts of any size cost one row per form. All steps are
 DataFrame aggregates and joins.
@@ -33,6 +34,7 @@ SUPPORT = 3.0    # mean urls per child below which they are variables
 Z = 1.96
 STRENGTH = 4.0   # weight of the prior, in urls
 REJECT = 0.8
+PRIOR = 0.5      # what a host starts from: other hosts are no evidence against it
 NEAR_DEPTH = 0.5   # mean segments by which an unlabelled child may differ from its labelled siblings
 NEAR_SUPPORT = 4.0  # times the mean urls of a labelled sibling, or this part of it
 
@@ -91,8 +93,6 @@ def templates(pages: DataFrame) -> DataFrame:
     tree = forms.withColumn("template", F.lit(""))
     for level in range(depth):
         tree = _level(tree, level)
-    total = forms.agg(F.sum("b").alias("b"), F.sum("m").alias("m")).first()
-    prior = ((total.b or 0) + 1) / ((total.m or 0) + 2)
     sums = stored(tree.groupBy("host", "template").agg(*(F.sum(c).alias(c) for c in ("n", "m", "b"))), "sums")
     # All beginnings of a template, the host's own (no segment) first; what lies beyond DEPTH is one segment.
     parts = F.split("template", "/", -1)
@@ -102,7 +102,7 @@ def templates(pages: DataFrame) -> DataFrame:
     above = chain.groupBy("host", "step", "start").agg(F.sum("m").alias("all_m"), F.sum("b").alias("all_b"))
     ladder = chain.select("host", "template", "step", "start").join(above, ["host", "step", "start"]).groupBy(
         "host", "template").agg(F.sort_array(F.collect_list(F.struct("step", "all_m", "all_b"))).alias("ladder"))
-    purity = F.aggregate("ladder", F.lit(float(prior)), lambda p, x: (x.all_b + STRENGTH * p) / (x.all_m + STRENGTH))
+    purity = F.aggregate("ladder", F.lit(PRIOR), lambda p, x: (x.all_b + STRENGTH * p) / (x.all_m + STRENGTH))
     judged = ladder.select("host", "template", purity.alias("purity")).join(
         sums.select("host", "template", F.col("n").alias("urls")), ["host", "template"])
     return tree.select("host", "form", "template").join(judged, ["host", "template"])

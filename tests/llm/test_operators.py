@@ -173,6 +173,18 @@ def test_simhash(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected))
 
 
+def test_suffix_names_may_clash(spark):
+    names = ("k1", "k2", "_k1", "_k2", "_f1", "starts", "_starts", "_packed", "h", "ph", "pieces", "bytes")
+    docs = made(spark, odd_texts())
+    wide = docs.withColumns({n: F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")) for n in names})
+    counts = ("n_bytes", "n_removed", "n_spans", "kept")
+    found = suffixes.remove_repeats(wide.unionByName(wide))  # every row twice: all strings stand elsewhere
+    plain = by_id(suffixes.remove_repeats(docs.unionByName(docs)), *counts)
+    rows = found.collect()
+    assert len(rows) == 2 * len(plain) and set(found.columns) == {*wide.columns, *counts}
+    assert all(tuple(r[c] for c in counts) == plain[r.doc_id] and r[n] == f"{n}:{r.doc_id}" for r in rows for n in names)
+
+
 def test_inner_names_may_clash(spark):
     names = ("_text", "_key", "_gone", "_row", "_fp", "_kept_id", "_kept_row", "line", "fp", "root", "id", "n_words", "row")
     docs = made(spark, odd_texts()).withColumns({n: F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")) for n in names})
