@@ -13,6 +13,7 @@ loses no row, and replaying its batch completes the merge.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 import zlib
@@ -29,6 +30,8 @@ PART = "_part"
 BUCKETS_PROPERTY = "strata.buckets"
 BASE_PROPERTY = "strata.buckets.base"
 GROWING_PROPERTY = "strata.buckets.growing"
+FOLDED_PROPERTY = "strata.folded"
+FOLDING_PROPERTY = "strata.folding"
 DEFAULT_BUCKETS = 64
 # A layout value is a bucket, below this number, and as often this number as the bucket has runs before it.
 RUN = 1 << 20
@@ -86,9 +89,12 @@ def append_batch(spark: SparkSession, df: DataFrame, table: str, batch_id: int,
                  rebalance: bool = False, cluster_by: Sequence[str] = ()) -> None:
     """Append the rows of one batch; a replay of the batch replaces them. ``writer`` tells apart the jobs that share
     a table, as each counts its own batches. Every task writes its rows where they are, unless ``rebalance`` asks
-    for evenly sized files or ``cluster_by`` for ranges of some columns."""
+    for evenly sized files or ``cluster_by`` for ranges of some columns. :func:`fold` brings old batches together."""
     df = df.withColumn(PART, F.lit(batch_part(batch_id, writer)).cast("long"))
     ensure_merge_table(spark, df, table)
+    _finish_folding(spark, table)
+    if _is_folded(spark, table, batch_id, writer):
+        return
     rows = aligned(spark, df, table)
     if cluster_by:
         rows = clustered(rows, cluster_by)
@@ -107,7 +113,9 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, key: str, batch_id: i
     """
     ensure_merge_table(spark, df.withColumn(PART, F.lit(0).cast("long")), table, buckets)
     _finish_growth(spark, table, key)
-    loose = df.filter(F.col(key).isNull()).withColumn(PART, F.lit(batch_part(batch_id, writer)).cast("long"))
+    _finish_folding(spark, table)
+    loose = df.filter(F.lit(False) if _is_folded(spark, table, batch_id, writer) else F.col(key).isNull())
+    loose = loose.withColumn(PART, F.lit(batch_part(batch_id, writer)).cast("long"))
     latest = merge.latest_per_key(df.filter(F.col(key).isNotNull()), key, order_by)
     latest = latest.withColumn(PART, _bucket(key, *bucket_counts(spark, table)).cast("long"))
     held = {int(p): (rows, hits) for p, rows, hits in _hits(spark, table, latest, key)}
@@ -224,6 +232,97 @@ def batch_part(batch_id: int, writer: str = "") -> int:
     return -1 - batch_id - (zlib.crc32(writer.encode()) << 31)
 
 
+def fold(spark: SparkSession, table: str, writer: str = "", rows: int = RUN_ROWS, keep: int = 1) -> int:
+    """Bring the partitions of a writer's batches together, in order, about ``rows`` rows to each; the newest ``keep``
+    batches stay as they are. Returns how many partitions there are fewer.
+
+    The table remembers which batches it has folded: their replay adds nothing. The new files are written beside the old
+    ones and then take their place; a driver lost amid that leaves a table that the next append, upsert or fold brings
+    to its end (rows of a folded batch may show twice until then).
+    """
+    _finish_folding(spark, table)
+    numbers = sorted(n for p in _parts(spark, table) if (n := _batch_of(p, writer)) is not None)
+    numbers = numbers[:max(0, len(numbers) - keep)]
+    if len(numbers) < 2:
+        return 0
+    parts = [batch_part(n, writer) for n in numbers]
+    spark.catalog.refreshTable(table)
+    old = spark.read.table(table).filter(F.col(PART).isin(parts))
+    sizes = {row[0]: row[1] for row in old.groupBy(PART).count().collect()}
+    bins, held = [[numbers[0]]], sizes.get(parts[0], 0)
+    for number, part in zip(numbers[1:], parts[1:]):
+        if held + sizes.get(part, 0) > rows:
+            bins.append([])
+            held = 0
+        bins[-1].append(number)
+        held += sizes.get(part, 0)
+    bins = [b for b in bins if len(b) > 1]
+    if not bins:
+        return 0
+    # A row per partition of the table: its size is bounded by what the catalog lists anyway.
+    targets = spark.createDataFrame(
+        [(batch_part(n, writer), batch_part(b[0], writer)) for b in bins for n in b], f"{PART} long, _target long")
+    moved = old.join(F.broadcast(targets), PART).withColumn(PART, F.col("_target")).select(old.columns)
+    folder = f"{_location(spark, table).rstrip('/')}/_batches/{_stamp()}"
+    moved.hint("rebalance", F.col(PART)).write.partitionBy(PART).parquet(folder)
+    plan = {"folder": folder, "writer": writer, "bins": [f"{b[0]}-{b[-1]}" for b in bins]}
+    _set_property(spark, table, FOLDING_PROPERTY, json.dumps(plan))
+    return _finish_folding(spark, table)
+
+
+def _finish_folding(spark: SparkSession, table: str) -> int:
+    """Let the written partitions of a fold take the old ones' place. Each step may have been done before."""
+    text = _properties(spark, table).get(FOLDING_PROPERTY)
+    if text is None:
+        return 0
+    plan = json.loads(text)
+    writer, gone = plan["writer"], 0
+    have = {n: p for p in _parts(spark, table) if (n := _batch_of(p, writer)) is not None}
+    for first, last in (map(int, b.split("-")) for b in plan["bins"]):
+        target = f"{PART}={batch_part(first, writer)}"
+        spark.sql(f"ALTER TABLE {_name(table)} PARTITION ({target}) SET LOCATION '{plan['folder']}/{target}'")
+        for number in (n for n in have if first < n <= last):
+            spark.sql(f"ALTER TABLE {_name(table)} DROP IF EXISTS PARTITION ({PART}={have[number]})")
+            gone += 1
+    folded = _folded(spark, table)
+    folded.setdefault(writer, []).extend(plan["bins"])
+    _set_property(spark, table, FOLDED_PROPERTY, json.dumps({w: _united(r) for w, r in folded.items()}))
+    spark.sql(f"ALTER TABLE {_name(table)} UNSET TBLPROPERTIES ('{FOLDING_PROPERTY}')")
+    spark.catalog.refreshTable(table)
+    return gone
+
+
+def _united(ranges: Sequence[str]) -> list[str]:
+    """Ranges of batch numbers, those that overlap as one."""
+    out: list[list[int]] = []
+    for first, last in sorted(tuple(map(int, r.split("-"))) for r in ranges):
+        if out and first <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], last)
+        else:
+            out.append([first, last])
+    return [f"{a}-{b}" for a, b in out]
+
+
+def _folded(spark: SparkSession, table: str) -> dict[str, list[str]]:
+    return json.loads(_properties(spark, table).get(FOLDED_PROPERTY, "{}"))
+
+
+def _is_folded(spark: SparkSession, table: str, batch_id: int, writer: str) -> bool:
+    ranges = (map(int, r.split("-")) for r in _folded(spark, table).get(writer, []))
+    return any(first <= batch_id <= last for first, last in ranges)
+
+
+def _batch_of(part: int, writer: str) -> int | None:
+    """The batch whose layout value this is, if it is one of this writer's."""
+    number = -1 - part - (zlib.crc32(writer.encode()) << 31)
+    return number if part < 0 and 0 <= number < 1 << 31 else None
+
+
+def _set_property(spark: SparkSession, table: str, name: str, value: str) -> None:
+    text = value.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {_name(table)} SET TBLPROPERTIES ('{name}' = '{text}')")
+
+
 def replace(spark: SparkSession, df: DataFrame, table: str, cluster_by: Sequence[str] = (),
             sort_by: str | Sequence[str] = (), location: str | None = None, interleave: bool = False) -> None:
     """Full refresh: write a new version beside the old one, then point the table at it.

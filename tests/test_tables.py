@@ -282,3 +282,48 @@ def test_merge_tables_are_clustered_within_their_parts(spark):
         files = spark.table(table).groupBy(F.input_file_name()).agg(F.min("c"), F.max("c")).collect()
         assert len(files) >= least and sum(f[1] <= 500 <= f[2] for f in files) <= len(files) / 2
         assert tables.read(spark, table).count() == 40_000
+
+
+def test_many_batches_fold_into_few_partitions(spark):
+    from strata.queries.inputs import scratch_schema
+    name = f"{scratch_schema(spark, 'fold')}.t"
+    batch = lambda b: spark.range(b * 10, b * 10 + 10).selectExpr("id", f"{b} AS b")
+    for b in range(20):
+        tables.append_batch(spark, batch(b), name, b, "it's")
+    tables.append_batch(spark, batch(500), name, 5, "other")
+    assert tables.fold(spark, name, "it's", rows=100) == 17     # 19 batches in two partitions; the newest stays
+    assert len(tables._parts(spark, name)) == 4
+    ids = lambda: sorted(r.id for r in tables.read(spark, name).collect())
+    expected = [*range(200), *range(5000, 5010)]
+    assert ids() == expected
+    for b in (0, 17, 19):
+        tables.append_batch(spark, batch(b), name, b, "it's")
+    assert ids() == expected
+    tables.append_batch(spark, batch(20), name, 20, "it's")
+    assert tables.fold(spark, name, "it's", rows=10_000) == 2 and len(tables._parts(spark, name)) == 3
+    assert ids() == sorted([*expected, *range(200, 210)])
+    assert tables._folded(spark, name) == {"it's": ["0-19"]}
+
+
+def test_a_lost_fold_is_finished_by_the_next_append(spark, monkeypatch):
+    from strata.queries.inputs import scratch_schema
+    name = f"{scratch_schema(spark, 'lost')}.t"
+    for b in range(4):
+        tables.append_batch(spark, spark.range(b, b + 1), name, b)
+    plain = tables._finish_folding
+    calls = []
+
+    def lost(session, table):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return plain(session, table)
+
+    monkeypatch.setattr(tables, "_finish_folding", lost)
+    with pytest.raises(RuntimeError):
+        tables.fold(spark, name)
+    monkeypatch.setattr(tables, "_finish_folding", plain)
+    assert sorted(r.id for r in tables.read(spark, name).collect()) == [0, 1, 2, 3]
+    tables.append_batch(spark, spark.range(1, 2), name, 1)
+    assert sorted(r.id for r in tables.read(spark, name).collect()) == [0, 1, 2, 3]
+    assert len(tables._parts(spark, name)) == 2
