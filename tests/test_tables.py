@@ -327,3 +327,22 @@ def test_a_lost_fold_is_finished_by_the_next_append(spark, monkeypatch):
     tables.append_batch(spark, spark.range(1, 2), name, 1)
     assert sorted(r.id for r in tables.read(spark, name).collect()) == [0, 1, 2, 3]
     assert len(tables._parts(spark, name)) == 2
+
+
+def test_a_write_of_many_runs_lists_old_versions_once(spark, monkeypatch):
+    # Each rewrite of a run retires its older folders; one listing serves all runs of the write, not one per run.
+    name = f"{scratch_schema(spark, 'retire')}.t"
+    rows = spark.range(0, 3000).selectExpr("id", "'a' AS v", "0 AS t")
+    tables.upsert(spark, rows, name, "id", 0, buckets=2, run_rows=100)
+    calls = []
+    monkeypatch.setattr(tables, "_retire", lambda s, pattern: calls.append(pattern))
+    for batch_id, v in ((1, "b"), (2, "c"), (3, "d")):
+        tables.upsert(spark, rows.selectExpr("id", f"'{v}' AS v", "1 AS t"), name, "id", batch_id, run_rows=100)
+    assert calls == []
+    root = f"{tables._location(spark, name).rstrip('/')}/_batches"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/_part=*")
+    found = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)]
+    parts = {p for p in found}
+    assert len(parts) > 20 and all(found.count(p) == tables.KEPT_VERSIONS for p in parts)
+    result = tables.read(spark, name)
+    assert result.count() == 3000 and result.filter("v = 'd'").count() == 3000
