@@ -60,7 +60,7 @@ def later_rows(target: DataFrame, latest: DataFrame, key: str, order_by: Sequenc
     if not order:
         return None
     return target.select(key, F.struct(*order).alias("_have")).join(
-        latest.select(key, F.struct(*order).alias("_new")), key).filter("_have > _new").select(key)
+        latest.select(key, F.struct(*order).alias("_new")).hint("merge"), key).filter("_have > _new").select(key)
 
 
 def upsert_keyed(target: DataFrame, source: DataFrame, key: str, order_by: Sequence[str] = (),

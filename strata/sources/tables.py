@@ -131,12 +131,13 @@ def upsert(spark: SparkSession, df: DataFrame, table: str, key: str, batch_id: i
     target = spark.read.table(table).filter(F.col(PART).isin(rewritten) if rewritten else F.lit(False))
     stale = merge.later_rows(target, latest, key, order_by, ties)
     if stale is not None:
-        latest = latest.join(stale, key, "left_anti")
+        latest = latest.join(stale.hint("merge"), key, "left_anti")
     carried = [c for c in target.columns if c not in (key, PART) and c not in df.columns]
     at = target.select(key, F.col(PART).alias("_at"), *carried)
-    kept = target.join(latest.select(key), key, "left_anti")
+    # Both sides grow with the input: joins by sort and merge, never by a broadcast of the batch or the table.
+    kept = target.join(latest.select(key).hint("merge"), key, "left_anti")
     open_runs = spark.createDataFrame([(b, p) for b, p in room.items()], f"{PART} long, _room long")
-    placed = latest.join(at, key, "left").join(open_runs, PART, "left").withColumn("_at", F.coalesce("_at", "_room"))
+    placed = latest.join(at.hint("merge"), key, "left").join(open_runs, PART, "left").withColumn("_at", F.coalesce("_at", "_room"))
     settled = placed.filter(F.col("_at").isNotNull()).withColumn(PART, F.col("_at"))
     merged = merge.append_evolved(kept, settled.drop("_at", "_room"))
     crowded = sum(n for b, n in arriving.items() if b not in room)
@@ -159,8 +160,13 @@ def _hits(spark: SparkSession, table: str, latest: DataFrame, key: str) -> list:
         return []
     spark.catalog.refreshTable(table)
     keys = spark.read.table(table).filter(F.col(PART).isin(parts)).select(F.col(PART).alias("_at"), key)
-    seen = keys.join(latest.select(key, F.lit(1).alias("_hit")), key, "left")
-    return seen.groupBy("_at").agg(F.count("*"), F.count("_hit")).collect()
+    return _hit_counts(keys, latest, key).collect()
+
+
+def _hit_counts(keys: DataFrame, latest: DataFrame, key: str) -> DataFrame:
+    """``_at``, rows and touched rows of each run. By sort and merge: the keys of a batch are not broadcast."""
+    seen = keys.join(latest.select(key, F.lit(1).alias("_hit")).hint("merge"), key, "left")
+    return seen.groupBy("_at").agg(F.count("*"), F.count("_hit"))
 
 
 def _parts(spark: SparkSession, table: str) -> list[int]:

@@ -346,3 +346,22 @@ def test_a_write_of_many_runs_lists_old_versions_once(spark, monkeypatch):
     assert len(parts) > 20 and all(found.count(p) == tables.KEPT_VERSIONS for p in parts)
     result = tables.read(spark, name)
     assert result.count() == 3000 and result.filter("v = 'd'").count() == 3000
+
+
+def test_upsert_joins_never_broadcast_the_batch(spark, folder):
+    # The keys of a batch and of the table grow with the input: a broadcast of them fails at size. Read from Parquet,
+    # as tables are, small frames have sizes that would let Spark plan a broadcast.
+    from strata.sources.tables import _hit_counts
+
+    def stored(rows, schema, name):
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    keys = stored([(0, 1), (0, 2), (1, 3)], "_at long, k long", "keys")
+    latest = stored([(1, 5), (4, 6)], "k long, t long", "latest")
+    target = stored([(1, 7), (3, 1)], "k long, t long", "target")
+    for df in (_hit_counts(keys, latest, "k"), merge.later_rows(target, latest, "k", ["t"], "source")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+    assert sorted(map(tuple, _hit_counts(keys, latest, "k").collect())) == [(0, 2, 1), (1, 1, 0)]
+    assert [r.k for r in merge.later_rows(target, latest, "k", ["t"], "source").collect()] == [1]
