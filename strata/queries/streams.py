@@ -70,11 +70,15 @@ def _silver(spark, folder):
     done = tx.filter("o_orderstatus = 'F'")
     second = done.withColumn("amount", F.lit("1.5")).withColumn("tx_time", F.lit("2030-01-01 00:00:00")).unionByName(
         done.withColumn("tx_id", F.concat(F.lit("NEW-"), F.col("o_orderkey"))))
+
+    def run(checkpoints):
+        bronze.ingest_raw(spark, landing, raw, f"{checkpoints}/raw", "raw", max_bytes=100_000, timeout=TIMEOUT)
+        silver.from_bronze(spark, raw, spec, f"{checkpoints}/silver", timeout=TIMEOUT)
+
     for name, drop in (("first", tx), ("second", second)):
         files.export(drop.select("tx_id", "amount", "region", "tx_time"), f"{landing}/{name}", "csv")
-        bronze.ingest_raw(spark, landing, raw, f"{landing}.checkpoints/raw", "raw", max_bytes=100_000,
-                          timeout=TIMEOUT)
-        silver.from_bronze(spark, raw, spec, f"{landing}.checkpoints/silver", timeout=TIMEOUT)
+        run(f"{landing}.checkpoints")
+    run(f"{landing}.checkpoints-of-replay")
     good = tables.read(spark, spec.target).select("tx_id", "amount", "region", "tx_time")
     bad = tables.read(spark, spec.quarantine).select(
         "tx_id", "amount", "region", "tx_time", F.array_join("failure_reasons", "|").alias("failure_reasons"))

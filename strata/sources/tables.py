@@ -32,6 +32,7 @@ BASE_PROPERTY = "strata.buckets.base"
 GROWING_PROPERTY = "strata.buckets.growing"
 FOLDED_PROPERTY = "strata.folded"
 FOLDING_PROPERTY = "strata.folding"
+REPLAY_PROPERTY = "strata.replay"
 DEFAULT_BUCKETS = 64
 # A layout value is a bucket, below this number, and as often this number as the bucket has runs before it.
 RUN = 1 << 20
@@ -244,9 +245,11 @@ def fold(spark: SparkSession, table: str, writer: str = "", rows: int = RUN_ROWS
 
     The table remembers which batches it has folded: their replay adds nothing. The new files are written beside the old
     ones and then take their place; a driver lost amid that leaves a table that the next append, upsert or fold brings
-    to its end (rows of a folded batch may show twice until then).
+    to its end (rows of a folded batch may show twice until then). Nothing is folded amid a replay of the writer.
     """
     _finish_folding(spark, table)
+    if writer in _replays(spark, table):
+        return 0
     numbers = sorted(n for p in _parts(spark, table) if (n := _batch_of(p, writer)) is not None)
     numbers = numbers[:max(0, len(numbers) - keep)]
     if len(numbers) < 2:
@@ -324,6 +327,39 @@ def _batch_of(part: int, writer: str) -> int | None:
     return number if part < 0 and 0 <= number < 1 << 31 else None
 
 
+def begin_replay(spark: SparkSession, table: str, writer: str = "") -> None:
+    """Note that a writer, whose checkpoint is new, writes all its batches again, cut in whatever way. What it wrote before
+    stays until :func:`end_replay`; batches that were folded are written again too. Another call begins anew."""
+    if not exists(spark, table) or all(_batch_of(p, writer) is None for p in _parts(spark, table)):
+        return
+    _finish_folding(spark, table)
+    _set_property(spark, table, REPLAY_PROPERTY, json.dumps({**_replays(spark, table), writer: _stamp()}))
+    folded = _folded(spark, table)
+    if folded.pop(writer, None):
+        _set_property(spark, table, FOLDED_PROPERTY, json.dumps(folded))
+
+
+def end_replay(spark: SparkSession, table: str, writer: str = "") -> None:
+    """Drop the batch partitions that the writer's replay has not written: their rows are in others now. A driver lost
+    before this leaves rows that show twice until the writer's next run ends the replay."""
+    begun = _replays(spark, table) if exists(spark, table) else {}
+    since = begun.pop(writer, None)
+    if since is None:
+        return
+    again = {part for stamp, part in _batch_folders(spark, f"{_location(spark, table).rstrip('/')}/_batches") if stamp > since}
+    left = [f"PARTITION ({PART}={p})" for p in _parts(spark, table)
+            if _batch_of(p, writer) is not None and f"{PART}={p}" not in again]
+    if left:
+        spark.sql(f"ALTER TABLE {_name(table)} DROP IF EXISTS {', '.join(left)}")
+    _set_property(spark, table, REPLAY_PROPERTY, json.dumps(begun))
+    spark.catalog.refreshTable(table)
+
+
+def _replays(spark: SparkSession, table: str) -> dict[str, str]:
+    """When the writers whose replay has not ended began it."""
+    return json.loads(_properties(spark, table).get(REPLAY_PROPERTY, "{}"))
+
+
 def _set_property(spark: SparkSession, table: str, name: str, value: str) -> None:
     text = value.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"ALTER TABLE {_name(table)} SET TBLPROPERTIES ('{name}' = '{text}')")
@@ -573,17 +609,21 @@ def _retire_parts(spark: SparkSession, root: str, parts: Sequence[str]) -> None:
     """
     if not parts:
         return
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/{PART}=*")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     wanted, found = set(parts), {}
-    for status in files.globStatus(path) or []:
-        name = status.getPath().toString()
-        part = name.rsplit("/", 1)[1]
+    for stamp, part in _batch_folders(spark, root):
         if part in wanted:
-            found.setdefault(part, []).append(name)
-    for versions in found.values():
-        for old in sorted(versions)[:-KEPT_VERSIONS]:
-            files.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
+            found.setdefault(part, []).append(stamp)
+    files = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part, stamps in found.items():
+        for old in sorted(stamps)[:-KEPT_VERSIONS]:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{old}/{part}"), True)
+
+
+def _batch_folders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
+    """The stamp and the partition of each folder that a batch below ``root`` wrote."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/{PART}=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [tuple(status.getPath().toString().rsplit("/", 2)[1:]) for status in found]
 
 
 def _retire(spark: SparkSession, pattern: str) -> None:

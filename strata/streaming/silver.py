@@ -115,7 +115,15 @@ def _run(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint:
 
 def from_bronze(spark: SparkSession, source_table: str, spec: SilverTable, checkpoint: str,
                 timeout: int | None = None) -> list[dict[str, int]]:
-    """Read what is new in a raw bronze table into silver; returns the row counts of each batch."""
+    """Read what is new in a raw bronze table into silver; returns the row counts of each batch.
+
+    With a new checkpoint all of bronze is read again. The batches may be cut otherwise than before, so the partitions of
+    earlier batches that no batch of the replay has written are dropped at its end, and the tables hold each row once.
+    """
+    written = [spec.quarantine, *([] if spec.history else [spec.target]), *([spec.metrics] if spec.metrics else [])]
+    if _is_new(spark, checkpoint):
+        for table in written:
+            tables.begin_replay(spark, table, spec.name)
     done: list[dict[str, int]] = []
 
     def batch(raw: DataFrame, batch_id: int) -> None:
@@ -128,9 +136,17 @@ def from_bronze(spark: SparkSession, source_table: str, spec: SilverTable, check
         reader = reader.option("maxBytesPerTrigger", str(spec.batch_bytes))
     # Filtered on the stream: a batch function gets rows that are already read, too late to skip files by format.
     _run(payload.of_format(reader.table(source_table), spec.file_format), batch, checkpoint, timeout)
+    for table in written:
+        tables.end_replay(spark, table, spec.name)
     return done
 
 
+def _is_new(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether no stream has begun a batch with this checkpoint."""
+    offsets = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets/*")
+    return not offsets.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(offsets)
+
+
 def _lines(raw: DataFrame, source_table: str) -> DataFrame | None:
     """All lines of the oversize JSON files that the batch has lines of, from the bronze files of the same ingestion."""
     pieces = payload.of_format(raw, "json").filter(F.col("chunk_line").isNotNull())

@@ -67,6 +67,71 @@ def test_a_lost_silver_checkpoint_replays_into_the_same_state(spark, folder):
     assert (job.good(), job.bad()) == before and len(before[0]) == 2
 
 
+@pytest.mark.parametrize("keyed", [False, True])
+def test_a_replay_of_many_batches_in_one_leaves_no_row_twice(spark, folder, keyed):
+    job = Job(spark, folder, scratch_schema(spark, "again"), file_format="json", merge_key="tx_id" if keyed else None)
+    for name in ("a", "b", "c"):
+        land(folder, f"{name}.json", f'{{"tx_id":"{name}","amount":1}}\n{{"tx_id":null,"amount":2}}\n'
+                                     f'{{"tx_id":"{name}","amount":0}}\n{{"tx_id":"{name}","amount":0}}\n')
+        assert len(job.run()) == 1
+    before = job.good(), job.bad()
+    assert len(before[0]) == 6 and len(before[1]) == 6
+    tables.fold(spark, job.spec.quarantine, "tx")
+    assert job.run("replayed") == [{"valid_rows": 6, "quarantined_rows": 6}]
+    assert (job.good(), job.bad()) == before
+    land(folder, "d.json", '{"tx_id":"d","amount":0}\n')
+    job.run()
+    # The replay has ended: what the first checkpoint goes on to write stays.
+    assert (job.good(), len(job.bad())) == (before[0], 7)
+
+
+def test_a_replay_that_failed_ends_with_the_next_run(spark, folder, monkeypatch):
+    job = Job(spark, folder, scratch_schema(spark, "lost"), file_format="json")
+    for name in ("a", "b"):
+        land(folder, f"{name}.json", f'{{"tx_id":"{name}","amount":1}}\n{{"tx_id":"{name}","amount":0}}\n')
+        job.run()
+    before = job.good(), job.bad()
+    append = tables.append_batch
+
+    def broken(*args, **kwargs):
+        append(*args, **kwargs)
+        raise RuntimeError("lost right after the write")
+
+    monkeypatch.setattr(tables, "append_batch", broken)
+    with pytest.raises(Exception, match="lost right after"):
+        silver.from_bronze(spark, job.raw, job.spec, f"{folder}/fresh", timeout=300)
+    monkeypatch.setattr(tables, "append_batch", append)
+    silver.from_bronze(spark, job.raw, job.spec, f"{folder}/fresh", timeout=300)
+    assert (job.good(), job.bad()) == before
+
+
+def test_the_silver_query_replays_its_streams(spark, folder, monkeypatch):
+    from strata.queries import streams
+    empty = {"region": "r_regionkey INT, r_name STRING", "nation": "n_nationkey INT, n_regionkey INT",
+             "customer": "c_custkey INT, c_nationkey INT",
+             "orders": "o_orderkey INT, o_custkey INT, o_orderstatus STRING, o_orderpriority STRING, o_totalprice DOUBLE, "
+                       "o_orderdate TIMESTAMP_NTZ"}
+    rows = {"region": "(1, 'N')", "nation": "(1, 1)", "customer": "(1, 1)",
+            "orders": "(1, 1, 'F', '1', 5.0, TIMESTAMP_NTZ'2020-01-01'), (2, 1, 'F', '5-LOW', 5.0, TIMESTAMP_NTZ'2020-01-01'), "
+                      "(3, 1, 'O', '5-LOW', 5.0, TIMESTAMP_NTZ'2020-01-01')"}
+    for name, schema in empty.items():
+        names = ", ".join(c.split()[0] for c in schema.split(", "))
+        types = ", ".join(f"CAST({c.split()[0]} AS {c.split()[1]})" for c in schema.split(", "))
+        spark.sql(f"SELECT {types} FROM VALUES {rows[name]} AS t({names})").toDF(*names.split(", ")).write.parquet(
+            f"{folder}/{name}.parquet")
+    runs, batches = [], []
+    read, ingest = silver.from_bronze, bronze.ingest_raw
+    monkeypatch.setattr(silver, "from_bronze", lambda *a, **k: runs.append(a[3]) or batches.append(read(*a, **k)))
+    monkeypatch.setattr(bronze, "ingest_raw", lambda *a, **k: runs.append(a[3]) or ingest(*a, **k))
+    found = sorted(streams._silver(spark, folder).select("tx_id", "amount").collect(), key=str)
+    # Once for each drop, and once more from a checkpoint that has seen nothing, over all rows of both drops.
+    assert len(runs) == 6 and len(set(runs)) == 4
+    assert [sum(b[0].values()) for b in batches] == [3, 4, 7]
+    # The first order, corrected and new; the second, bad at first and then corrected and new (bad); the third, bad.
+    assert [tuple(r) for r in found] == [("NEW-1", 5.0), ("NEW-2", None), ("TXN-1", 1.5), ("TXN-2", 1.5), ("TXN-2", None),
+                                         ("TXN-3", -99.99)]
+
+
 def test_a_failed_batch_is_repeated_whole(spark, folder, monkeypatch):
     job = Job(spark, folder, scratch_schema(spark, "fail"), file_format="json", merge_key="tx_id")
     land(folder, "a.json", '{"tx_id":"a","amount":1}\n{"tx_id":null,"amount":2}\n{"tx_id":"c","amount":0}\n')
