@@ -365,3 +365,22 @@ def test_upsert_joins_never_broadcast_the_batch(spark, folder):
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
     assert sorted(map(tuple, _hit_counts(keys, latest, "k").collect())) == [(0, 2, 1), (1, 1, 0)]
     assert [r.k for r in merge.later_rows(target, latest, "k", ["t"], "source").collect()] == [1]
+
+
+def test_many_small_runs_are_read_and_written_by_tasks_of_their_own_number(spark, monkeypatch):
+    # Some 200 runs of a few rows: as AQE goes by bytes, one task wrote a file for each of them.
+    name = f"{scratch_schema(spark, 'runs')}.t"
+    rows = spark.range(1000).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+    tables.upsert(spark, rows, name, "k", 0, buckets=2, run_rows=5)
+    tables.upsert(spark, rows.filter("k % 2 = 0").withColumn("v", F.lit(1)), name, "k", 1, run_rows=5)
+    files = [f.rsplit("/", 3)[1:] for f in spark.table(name).inputFiles()]
+    newest = max(batch for batch, _, _ in files)
+    tasks = {file.split("-")[1] for batch, _, file in files if batch == newest}
+    assert len(files) > 100 and len(tasks) > 5
+    assert tables.read(spark, name).groupBy((F.col("k") % 2).alias("odd"), "v").count().orderBy("odd").collect() == [
+        (0, 1, 500), (1, 0, 500)]
+    scan = spark.table(name).filter(tables._among(tables._parts(spark, name)))
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "READ_BYTES", 1)
+        assert tables._packed(scan, 200).rdd.getNumPartitions() == scan.rdd.getNumPartitions()
+    assert tables._packed(scan, 200).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
